@@ -98,10 +98,10 @@ def prefix_sum(df: DataFrame, group: list[str], order: list, bucket: str, value:
     ``bucket`` is a column of small bounded range, monotone in the wanted order. Bucket totals are a table of bounded
     size and are summed in one window; the rows themselves are only ordered within (group, bucket)."""
     totals = df.groupBy(*group, bucket).agg(F.sum(value).alias("_t"))
-    before = totals.withColumn("_before", F.coalesce(F.sum("_t").over(Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
+    before = totals.withColumn("_pre", F.coalesce(F.sum("_t").over(Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
     w = Window.partitionBy(*group, bucket).orderBy(*order)
     inner = df.withColumn("_in", F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return inner.join(before, [*group, bucket]).withColumn(out, F.col("_in") + F.col("_before")).drop("_in", "_before")
+    return inner.join(before, [*group, bucket]).withColumn(out, F.col("_in") + F.col("_pre")).drop("_in", "_pre")
 
 
 def path_exists(path: str) -> bool:
