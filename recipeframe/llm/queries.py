@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recipeframe.llm import caps, splits
+from recipeframe.llm import caps, language, leakage, lookalike, splits
 from recipeframe.runtime import table
 
 CAP = 8
@@ -101,10 +101,70 @@ r as (select n.t, n.k, row_number() over (partition by n.t, n.c order by coalesc
 select t as record_table, k as record_key from r where rn > 8
 """
 
+# ---- 3: visually identical text
+
+
+def _p3_values(spark: SparkSession, d: str) -> DataFrame:
+    titles = table(spark, d, "recipes_fixture").select(F.lit("title").alias("field"), F.col("id").alias("key"), F.col("title").alias("value"))
+    items = table(spark, d, "xiachufang_mini").select(F.lit("recipeIngredient").alias("field"), F.col("line_no").alias("key"), F.explode("recipeIngredient").alias("value"))
+    return titles.unionByName(items)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.same_looking(_p3_values(spark, d))
+
+
+def p3_titles(spark: SparkSession, d: str) -> DataFrame:
+    """Every title in its one form."""
+    t = table(spark, d, "recipes_fixture").select("id", "title").distinct()
+    return lookalike.canonical(t, "title", "form", lookalike.vocabulary(t, "title"))
+
+
+# ---- 4: language labels
+
+
+def _p4_videos(spark: SparkSession, d: str) -> DataFrame:
+    """The latest fetch of each video."""
+    v = table(spark, d, "ingest_youtube").where("video_id is not null")
+    last = F.max_by(F.struct("lang", "video_lang", "transcript_lang", "transcript"), F.struct(F.col("transcript").isNotNull(), F.coalesce("fetched_at", F.lit("")), F.coalesce("transcript", F.lit(""))))
+    return v.groupBy("video_id").agg(last.alias("v")).select("video_id", "v.*")
+
+
+def _p4_model(spark: SparkSession, d: str) -> dict:
+    return language.train(language.sample(table(spark, d, "documents"), "doc_id", "text", "lang"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found = language.wrong_labels(_p4_videos(spark, d), "video_id", "transcript", ["lang", "video_lang", "transcript_lang"], _p4_model(spark, d))
+    return found.select("video_id", "field", "true_lang")
+
+
+def p4_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.segments(_p4_videos(spark, d), "video_id", "transcript", _p4_model(spark, d))
+
+
+# ---- 7: evaluation texts in training text
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_pairs(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_passages(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).distinct()
+
+
+P7_SQL = r"""
+with w as (select distinct doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), ' ') || ' ' as t from documents),
+i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as a from eval_items),
+g as (select distinct item_id, ' ' || array_to_string(a[k : k + 11], ' ') || ' ' as p from (select item_id, a, unnest(range(1, len(a) - 10)) as k from i))
+select distinct doc_id, item_id from w, g where contains(w.t, g.p)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p2_found": P2_SQL}
+    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p7_found": P7_SQL}
