@@ -11,6 +11,11 @@ order with a column per language, so a text is scored for all languages by one b
 A sentence goes to the language of the lowest cross-entropy per character. Confidence is a softmax over the sentence's
 log likelihoods with a temperature fitted on held-out sentences. A sentence is rejected (language null) if its
 cross-entropy lies above that language's held-out ``REJECT`` quantile times ``SLACK``, or if it has no letters.
+
+Captions often have no sentence marks. A sentence of more than ``LONG`` letters is cut by the most likely path (Viterbi)
+through languages over its words (characters where writing has no spaces), each change costing ``SWITCH`` nats; text in
+brackets doesn't count, and a stretch too short to be a sentence (``LEAST`` letters, ``LEAST_CJK`` in scripts without
+spaces) goes with its neighbour. Such a stretch counts as one sentence per ``USUAL`` (``USUAL_CJK``) letters.
 """
 
 from __future__ import annotations
@@ -29,6 +34,10 @@ LANGUAGES = ["de", "en", "es", "fr", "it", "ja", "ko", "pt", "zh"]
 # Three-letter codes (ISO 639-2 and -3) of these languages.
 THREE = {"deu": "de", "ger": "de", "eng": "en", "spa": "es", "fra": "fr", "fre": "fr", "ita": "it", "jpn": "ja", "kor": "ko", "por": "pt", "zho": "zh", "chi": "zh", "cmn": "zh"}
 ORDER, TRAIN_DOCS, REJECT, SLACK = 5, 500, 0.999, 2.0
+LONG, SWITCH, LEAST, LEAST_CJK, USUAL, USUAL_CJK = 110, 14.0, 20, 9, 40, 16
+_RUN = re.compile(r"[^\W\d_]+")
+_BRACKET = re.compile(r"\([^()]*\)|（[^（）]*）|\[[^\[\]]*\]")
+_CJK = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
 _SENTENCE = re.compile(r"[^.!?。！？…\n]*(?:[.!?…]+(?=\s|$|[\"'”’)\]])[\"'”’)\]]*|[。！？]+[」』”’）]*|[.!?…]+|\n|$)", re.S)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _JUNK = re.compile(r"[\W\d_]+")
@@ -206,6 +215,12 @@ def score(model: dict, texts: list[str], chunk: int = 150_000) -> tuple[np.ndarr
 
 def _score(model: dict, texts: list[str]) -> np.ndarray:
     codes, starts = _codes(texts)
+    lp = _positions(model, codes, starts)
+    return -np.add.reduceat(lp, starts[:-1], axis=0) / np.diff(starts)[:, None]
+
+
+def _positions(model: dict, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Log probability of the character at each position under each language."""
     lp = np.broadcast_to(model["floor"], (len(codes), len(model["langs"])))
     prev = None
     for (keys, p, bow), h in zip(model["tables"], _hashes(codes, starts, model["order"])):
@@ -220,7 +235,7 @@ def _score(model: dict, texts: list[str]) -> np.ndarray:
         else:
             lp = np.where(np.isnan(here), lp, here)
         prev = bow[j]
-    return -np.add.reduceat(lp, starts[:-1], axis=0) / np.diff(starts)[:, None]
+    return lp
 
 
 def classify(model: dict, texts: list[str]) -> tuple[list[str | None], np.ndarray]:
@@ -241,6 +256,81 @@ def classify(model: dict, texts: list[str]) -> tuple[list[str | None], np.ndarra
     return [lang[w] for w in which], conf[which]
 
 
+def stretches(model: dict, text: str) -> list[tuple[int, int, str | None, float, int]]:
+    """(start, end, language, confidence, sentences it counts as) of a long text without sentence marks."""
+    masked = _BRACKET.sub(lambda m: " " * len(m[0]), text)
+    tokens: list[tuple[int, int]] = []
+    for m in _RUN.finditer(masked):
+        s, e = m.span()
+        while s < e:
+            if _CJK.match(masked, s):
+                tokens.append((s, s + 1))
+                s += 1
+            else:
+                x = _CJK.search(masked, s, e)
+                tokens.append((s, x.start() if x else e))
+                s = tokens[-1][1]
+    if not tokens:
+        return []
+    words = [unicodedata.normalize("NFC", masked[s:e].lower()) for s, e in tokens]
+    parts, at, place = [" "], [], 1
+    for k, w in enumerate(words):
+        at.append(place)
+        gap = "" if k + 1 < len(words) and tokens[k + 1][0] == tokens[k][1] else " "
+        parts.append(w + gap)
+        place += len(w) + len(gap)
+    lp = _positions(model, *_codes(["".join(parts)]))
+    emit = np.add.reduceat(lp, at, axis=0)
+    best, back = emit[0], []
+    for row in emit[1:]:
+        jump = best.max() - SWITCH
+        back.append(np.where(best >= jump, np.arange(len(best)), best.argmax()))
+        best = np.maximum(best, jump) + row
+    path = [int(best.argmax())]
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    path.reverse()
+    runs: list[list[int]] = []  # first token, end token, language, letters, letters of scripts without spaces
+    for k, (x, (s, e)) in enumerate(zip(path, tokens)):
+        if not runs or runs[-1][2] != x:
+            runs.append([k, k, x, 0, 0])
+        r = runs[-1]
+        r[1], r[3], r[4] = k + 1, r[3] + e - s, r[4] + ((e - s) if _CJK.match(masked, s) else 0)
+    whole = [r for r in runs if r[3] >= (LEAST_CJK if 2 * r[4] > r[3] else LEAST)] or [max(runs, key=lambda r: r[3])]
+    out: list[tuple[int, int, str | None, float, int]] = []
+    merged: list[list[int]] = []
+    for r in whole:
+        if merged and merged[-1][2] == r[2]:
+            merged[-1][1], merged[-1][3], merged[-1][4] = r[1], merged[-1][3] + r[3], merged[-1][4] + r[4]
+        else:
+            merged.append(list(r))
+    for a, z, x, letters, cjk in merged:
+        span = lp[at[a] : at[z] if z < len(at) else len(lp)]
+        total = span.sum(0)
+        ok = -total[x] / max(1, len(span)) <= model["limit"][x]
+        w = total / model["temperature"]
+        conf = float(1 / np.exp(w - w[x]).sum()) if ok else 0.0
+        n = max(1, round(letters / (USUAL_CJK if 2 * cjk > letters else USUAL)))
+        out.append((tokens[a][0], tokens[z - 1][1], model["langs"][x] if ok else None, conf, n))
+    return out
+
+
+def pieces(model: dict, texts: list[str]) -> list[tuple[int, int, int, str | None, float, int]]:
+    """(text, start, end, language, confidence, sentences it counts as) of every sentence of every text, in order."""
+    spans = [(i, s, e) for i, t in enumerate(texts) for s, e in sentences(t) if any(c.isalpha() for c in t[s:e])]
+    long = [e - s > LONG and sum(len(m[0]) for m in _RUN.finditer(texts[i], s, e)) > LONG for i, s, e in spans]
+    short = [texts[i][s:e] for (i, s, e), x in zip(spans, long) if not x]
+    langs, conf = classify(model, short)
+    given = iter(zip(langs, conf))
+    out = []
+    for (i, s, e), x in zip(spans, long):
+        if x:
+            out += [(i, s + a, s + z, *rest) for a, z, *rest in stretches(model, texts[i][s:e])]
+        else:
+            out.append((i, s, e, *next(given), 1))
+    return out
+
+
 def label(text: str | None) -> str | None:
     """The language a label names: region, script, track and three-letter notations included; null if none of the nine."""
     first = re.split(r"[-_\s.]", (text or "").strip().lower())[0]
@@ -272,18 +362,14 @@ def segments(docs: DataFrame, key: str, text: str, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            spans = [(i, s, e) for i, t in enumerate(batch["_text"]) for s, e in sentences(t) if any(c.isalpha() for c in t[s:e])]
-            texts = batch["_text"].tolist()
-            langs, conf = classify(b.value, [texts[i][s:e] for i, s, e in spans])
             rows: list[list] = []
-            for (i, s, e), x, c in zip(spans, langs, conf):
+            for i, s, e, x, c, n in pieces(b.value, batch["_text"].tolist()):
                 last = rows[-1] if rows and rows[-1][0] == i else None
+                weight = (e - s) if x else 0
                 if last and (x is None or last[5] is None or last[5] == x):
-                    last[3], last[4], last[6] = e, last[4] + 1, last[6] + c * (e - s)
-                    last[7] += (e - s) if x else 0
-                    last[5] = last[5] or x
+                    last[3], last[4], last[5], last[6], last[7] = e, last[4] + n, last[5] or x, last[6] + c * weight, last[7] + weight
                 else:
-                    rows.append([i, (last[1] + 1) if last else 1, s, e, 1, x, c * (e - s), (e - s) if x else 0])
+                    rows.append([i, (last[1] + 1) if last else 1, s, e, n, x, c * weight, weight])
             keys = batch["_key"].tolist()
             yield pd.DataFrame([(keys[r[0]], *r[1:6], r[6] / max(1, r[7])) for r in rows], columns=["_key", "segment", "start", "end", "n_sentences", "segment_lang", "confidence"])
 
@@ -305,14 +391,11 @@ def wrong_labels(docs: DataFrame, key: str, text: str, labels: list[str], model:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch["_text"].tolist()
-            spans = [(i, s, e) for i, t in enumerate(texts) for s, e in sentences(t) if any(c.isalpha() for c in t[s:e])]
-            langs, conf = classify(b.value, [texts[i][s:e] for i, s, e in spans])
             by: dict[int, dict[str, list]] = {}
-            for (i, s, e), x, c in zip(spans, langs, conf):
+            for i, s, e, x, c, n in pieces(b.value, batch["_text"].tolist()):
                 if x:
                     v = by.setdefault(i, {}).setdefault(x, [0, 0, 0.0])
-                    v[0], v[1], v[2] = v[0] + 1, v[1] + e - s, v[2] + c
+                    v[0], v[1], v[2] = v[0] + n, v[1] + e - s, v[2] + c * n
             keys, given = batch["_key"].tolist(), [batch[f"_l{k}"].tolist() for k in range(len(labels))]
             rows = []
             for i, found in by.items():
