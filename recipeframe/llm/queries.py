@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recipeframe.llm import caps, language, leakage, lookalike, splits
+from recipeframe.llm import caps, language, leakage, lookalike, neardup, splits
 from recipeframe.runtime import table
 
 CAP = 8
@@ -143,6 +143,31 @@ def p4_segments(spark: SparkSession, d: str) -> DataFrame:
     return language.segments(_p4_videos(spark, d), "video_id", "transcript", _p4_model(spark, d))
 
 
+# ---- 6: near-duplicate recipes
+
+SIMILAR = 0.7  # set by the problem's statement
+
+
+def _p6(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return neardup.similar(table(spark, d, "recipes_fixture"), "id", ["title", "ingredients", "steps"], SIMILAR)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.pairs(*_p6(spark, d))
+
+
+def p6_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.groups(*_p6(spark, d)).withColumnRenamed("key", "id")
+
+
+P6_SQL = r"""
+with one as (select id, max(list_sort(list_distinct(regexp_extract_all(lower(concat_ws(' ', coalesce(title, ''), coalesce(array_to_string(ingredients, ' '), ''), coalesce(array_to_string(steps, ' '), ''))), '[\p{L}\p{N}]+')))) as s from recipes_fixture where id is not null group by id),
+t as (select id, len(s) as n, unnest(s) as w from one),
+o as (select a.id as id_a, b.id as id_b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as o from t a join t b on a.w = b.w and a.id < b.id group by 1, 2)
+select id_a, id_b from o where o >= 0.7 * (na + nb - o) - 1e-9
+"""
+
+
 # ---- 7: evaluation texts in training text
 
 
@@ -167,4 +192,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p7_found": P7_SQL}
+    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL}
