@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 LANGUAGES = ["de", "en", "es", "fr", "it", "ja", "ko", "pt", "zh"]
 # Three-letter codes (ISO 639-2 and -3) of these languages.
 THREE = {"deu": "de", "ger": "de", "eng": "en", "spa": "es", "fra": "fr", "fre": "fr", "ita": "it", "jpn": "ja", "kor": "ko", "por": "pt", "zho": "zh", "chi": "zh", "cmn": "zh"}
-ORDER, TRAIN_DOCS, REJECT, SLACK = 5, 500, 0.999, 2.0
+ORDER, TRAIN_DOCS, REJECT, SLACK = 5, 250, 0.999, 2.0
 LONG, SWITCH, LEAST, LEAST_CJK, USUAL, USUAL_CJK = 110, 14.0, 20, 9, 40, 16
 _RUN = re.compile(r"[^\W\d_]+")
 _BRACKET = re.compile(r"\([^()]*\)|（[^（）]*）|\[[^\[\]]*\]")

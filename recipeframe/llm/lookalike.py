@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recipeframe.runtime import materialize
+
 VOCABULARY = 200_000
 
 # Letters of other scripts that are drawn like Latin letters.
@@ -198,7 +200,7 @@ def same_looking(values: DataFrame, limit: int = VOCABULARY) -> DataFrame:
     spelled = v.select("field", "value").distinct()
     vocab = vocabulary(spelled, "value", limit)
     c = canonical(spelled, "value", "form", vocab).where("form <> ''")
-    several = c.groupBy("field", "form").agg(F.collect_set("value").alias("s")).where("size(s) > 1")
+    several = materialize(c.groupBy("field", "form").agg(F.collect_set("value").alias("s")).where("size(s) > 1"), "spellings")
     a, b = several.select("field", "form", F.explode("s").alias("va")), F.explode("s").alias("vb")
     pairs = a.join(several.select(F.col("field").alias("f2"), F.col("form").alias("form2"), b), (F.col("field") == F.col("f2")) & (F.col("form") == F.col("form2"))).where("va < vb").select("field", "va", "vb")
     one = pairs.join(v.select("field", F.col("value").alias("va"), F.col("key").alias("ka")), ["field", "va"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recipeframe.llm import caps, language, leakage, lookalike, neardup, splits
+from recipeframe.llm import caps, language, leakage, lookalike, neardup, spans, splits
 from recipeframe.runtime import table
 
 CAP = 8
@@ -186,10 +186,32 @@ g as (select distinct item_id, ' ' || array_to_string(a[k : k + 11], ' ') || ' '
 select distinct doc_id, item_id from w, g where contains(w.t, g.p)
 """
 
+# ---- 9: long exact spans
+
+SPAN = 300
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    matches, members = spans.shared(docs, SPAN)
+    return spans.pairs(matches, members, docs.select("doc_id", F.length("text").alias("n")), SPAN)
+
+
+def p9_portions(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return spans.portions(docs, *spans.shared(docs, SPAN), SPAN)
+
+
+P9_SQL = r"""
+with g as (select distinct doc_id, hash(substr(text, k, 300)) as h from (select doc_id, text, unnest(range(1, length(text) - 298)) as k from documents)),
+s as (select h from g group by h having count(*) > 1)
+select distinct a.doc_id as doc_id_a, b.doc_id as doc_id_b from g a join g b on a.h = b.h and a.doc_id < b.doc_id where a.h in (select h from s)
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL}
+    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}
