@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recipeframe.llm import caps, language, leakage, lookalike, neardup, spans, splits
+from recipeframe.llm import caps, language, leakage, lookalike, mixture, neardup, spans, splits
 from recipeframe.runtime import table
 
 CAP = 8
@@ -186,6 +186,28 @@ g as (select distinct item_id, ' ' || array_to_string(a[k : k + 11], ' ') || ' '
 select distinct doc_id, item_id from w, g where contains(w.t, g.p)
 """
 
+# ---- 8: mixing sources
+
+
+def p8_draw(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.draw(mixture.solve(table(spark, d, "documents"), table(spark, d, "mix_targets")))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    targets = table(spark, d, "mix_targets")
+    mix = mixture.solve(table(spark, d, "documents"), targets)
+    return mixture.report(mix, mixture.draw(mix), targets)
+
+
+def p8_expected(spark: SparkSession, d: str) -> DataFrame:
+    """The soft form: labels count 0.9, documents without a source take part by the classifier; shares are expected ones."""
+    targets = table(spark, d, "mix_targets")
+    mix = mixture.solve(table(spark, d, "documents"), targets, label_trust=0.9, unlabelled=True)
+    total = float(mix.expected.sum()) or 1.0
+    rows = [(s, mix.targets.get(s), float(e) / total, mix.accuracy) for s, e in zip(mix.sources, mix.expected)]
+    return spark.createDataFrame(rows, "source string, target_share double, expected_share double, classifier_accuracy double")
+
+
 # ---- 9: long exact spans
 
 SPAN = 300
