@@ -6,10 +6,12 @@ others share the frequent ones; a record is its vertical pieces, one per fragmen
 
 Candidates. Let r be a record's number of rare words and c of frequent ones (n = r + c), and t the threshold: a pair with
 Jaccard >= t shares o >= t / (1 + t) * (n1 + n2) words. Either the pair shares a rare word, and meets in fragment 0, whose
-posting lists are short. Or all o shared words are frequent, so o also is at most min(c1, c2): such a pair shares at
-least two of the first c - o + 2 frequent words of either side (different sets at t > 1/2 share at least two words), and
-meets at a pair of words. For the smaller record o >= 2t / (1 + t) * n; for the larger one o >= t * (n + least), as the
-union also has the other's rare words, of which every record has at least ``least``.
+posting lists are short. Or all shared words are frequent; then the frequent words in which the two differ are at most
+delta = (1 - t) / (1 + t) * (n1 + n2) - r1 - r2, and of any more than delta pieces into which the frequent words are cut,
+one piece is the same on both sides. The number of pieces is a level (LEVELS) above the delta of two records as large as
+the larger one; the larger record meets the smaller ones there at equal pieces, and a smaller one shows its pieces at
+every level that a larger partner can have (o <= c bounds its size). As delta depends on r, records with few rare words
+(below the ``LOW`` quantile) are met separately, so that they don't make the pieces of all others short.
 
 Filter. Each record carries its words' parities in 128 bits; the bits in which two records differ are at most the words
 in which they differ, and those are at most n1 + n2 - 2o. This runs inside the join, so only close pairs leave it.
@@ -22,13 +24,18 @@ for all of them), as their pairs would grow with the square.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recipeframe.llm.components import components
 from recipeframe.runtime import join_hot, materialize
 
-RARE, FRAGMENTS, EXPAND = 64, 5, 200
+RARE, FRAGMENTS, EXPAND, LOW = 64, 5, 200, 0.1
+LEVELS = sorted({max(k + 1, round(1.25**k)) if k < 6 else round(1.25**k) + 3 for k in range(60)})  # numbers of pieces
 
 
 def word_sets(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -44,9 +51,11 @@ def word_sets(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
 def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cls, n, words) of distinct word sets, and members (key, cls, size). The class is its least key."""
-    keyed = sets.withColumn("_h", F.sha2(F.array_join("words", " "), 256))
+    keyed = materialize(sets.withColumn("_h", F.sha2(F.array_join("words", " "), 256)), "sets")
     group = materialize(keyed.groupBy("_h").agg(F.min("key").alias("cls"), F.count(F.lit(1)).alias("size")), "classes")
     members = join_hot(keyed.select("key", "_h", "words"), group, "_h", "size")
+    bare = F.size("words") == 0  # records without words are nobody's copies
+    members = members.withColumn("cls", F.when(bare, F.col("key")).otherwise(F.col("cls"))).withColumn("size", F.when(bare, F.lit(1)).otherwise(F.col("size")))
     members = materialize(members.select("key", "cls", "size", F.when(F.col("key") == F.col("cls"), F.col("words")).alias("words")), "members")
     reps = members.where("key = cls and size(words) > 0").select("cls", F.size("words").alias("n"), "words")
     return reps, members.select("key", "cls", "size")
@@ -57,6 +66,53 @@ def _bits(words: str, half: int) -> str:
     return f"aggregate({words}, 0L, (a, w) -> a ^ if((xxhash64(w) & 64) = {64 * half}, shiftleft(1L, cast(xxhash64(w) & 63 as int)), 0L))"
 
 
+def _pieces(batches: Iterator[pd.DataFrame], t: float, least: int, usual: int) -> Iterator[pd.DataFrame]:
+    """Keys of the pieces of each record's frequent words: as the larger of a pair at one level, as the smaller at every
+    level that a larger partner can have; for each combination of partners with few (fewer than ``usual``) rare words."""
+    coef, span, levels = (1 - t) / (1 + t), (1 + t) / t, np.array(LEVELS)
+
+    def level(size: np.ndarray, rare: int) -> np.ndarray:
+        return np.searchsorted(levels, coef * 2 * size - rare + 1e-9, side="right")  # the first level above
+
+    for whole in batches:
+        for at in range(0, len(whole), 2000):
+            b = whole.iloc[at : at + 2000]
+            n, r = b["n"].to_numpy(np.int64), b["r"].to_numpy(np.int64)
+            c = b["h"].map(len).to_numpy(np.int64)
+            words = np.concatenate([np.asarray(x, np.int64) for x in b["h"]] or [np.zeros(0, np.int64)]).view(np.uint64)
+            owner = np.repeat(np.arange(len(b)), c)
+            most = np.floor(span * c + 1e-9) - n
+            wanted = []  # (tag, larger, first level, last level) per record; an empty range where it has no partner
+            for tag, (low_x, low_y) in enumerate(((False, False), (False, True), (True, False), (True, True))):
+                rx, ry = (least if low_x else usual), (least if low_y else usual)
+                first = level(n, rx + ry)
+                x = ((r < usual) == low_x) & (np.floor(coef * 2 * n + 1e-9) - r - ry >= 0)
+                y = ((r < usual) == low_y) & (most >= n)
+                wanted.append((tag, True, first, np.where(x, first, first - 1)))
+                wanted.append((tag, False, first, np.where(y, level(most, rx + ry), first - 1)))
+            out = []
+            for k, pieces in enumerate(levels):
+                roles = [(tag, larger, np.flatnonzero((lo <= k) & (k <= hi))) for tag, larger, lo, hi in wanted]
+                if not any(len(x) for _, _, x in roles):
+                    continue
+                need = np.unique(np.concatenate([x for _, _, x in roles]))
+                place = np.full(len(b), -1)
+                place[need] = np.arange(len(need))
+                mine = place[owner] >= 0
+                sums = np.zeros(len(need) * pieces, np.uint64)
+                np.add.at(sums, place[owner[mine]] * pieces + (words[mine] % np.uint64(pieces)).astype(np.int64), words[mine])
+                sums = sums.reshape(len(need), pieces)
+                for tag, larger, x in roles:
+                    if len(x):
+                        salt = (np.arange(pieces, dtype=np.uint64) * np.uint64(8) + np.uint64(tag)) * np.uint64(1 << 20) + np.uint64(pieces)
+                        key = (sums[place[x]] ^ (salt * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+                        out.append((np.repeat(x, pieces), (key ^ (key >> np.uint64(32))).ravel().view(np.int64), larger))
+            if out:
+                who = np.concatenate([x for x, _, _ in out])
+                rows = {name: b[name].to_numpy()[who] for name in ("cls", "n", "p0", "p1")}
+                yield pd.DataFrame(rows | {"k": np.concatenate([x for _, x, _ in out]), "larger": np.concatenate([np.full(len(x), z) for x, _, z in out])})
+
+
 def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
     """(a, b, overlap, union) of class pairs a < b with Jaccard >= threshold > 0.5."""
     if not 0.5 < threshold < 1:
@@ -87,17 +143,11 @@ def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
     shared = freq.where(f"df between 2 and {RARE}").select("w")
     r = d.select("cls", "n", "p0", "p1", F.explode("rare").alias("w")).join(shared, "w", "left_semi")
     met = r.alias("x").join(r.alias("y"), F.expr(f"x.w = y.w and x.cls < y.cls and {close('x', 'y')}")).select(F.expr("x.cls").alias("a"), F.expr("y.cls").alias("b"))
-    # the other fragments: pairs that share frequent words only
-    small = F.ceil(F.lit(2 * t / (1 + t)) * F.col("n") - 1e-9)
-    large = F.ceil(F.lit(t) * (F.col("n") + F.lit(least)) - 1e-9)
-
-    def two(need) -> DataFrame:
-        first = F.expr(f"slice(frequent, 1, least(size(frequent), greatest(0, size(frequent) - cast({need} as int) + 2)))")
-        heads = d.withColumn("small", small).withColumn("large", large).where(f"size(frequent) >= {need}").select("cls", "n", "p0", "p1", first.alias("h"))
-        keys = F.expr("flatten(transform(h, (u, i) -> transform(slice(h, i + 2, size(h)), v -> xxhash64(u, v))))")
-        return heads.select("cls", "n", "p0", "p1", F.explode(keys).alias("k"))
-
-    index, probe = two("small"), two("large")
+    # the other fragments: pairs that share frequent words only, met at equal pieces
+    usual = d.agg(F.percentile_approx(F.size("rare"), LOW)).first()[0] or 0
+    h = d.select("cls", "n", "p0", "p1", F.size("rare").alias("r"), F.expr("transform(frequent, w -> xxhash64(w))").alias("h"))
+    keyed = materialize(h.mapInPandas(lambda batches: _pieces(batches, t, int(least), int(usual)), f"cls {dict(d.dtypes)['cls']}, n int, p0 bigint, p1 bigint, k bigint, larger boolean"), "keyed")
+    probe, index = keyed.where("larger"), keyed.where("not larger")
     met2 = probe.alias("x").join(index.alias("y"), F.expr(f"x.k = y.k and (x.n > y.n or (x.n = y.n and x.cls > y.cls)) and {close('x', 'y')}"))
     met2 = met2.select(F.expr("least(x.cls, y.cls)").alias("a"), F.expr("greatest(x.cls, y.cls)").alias("b"))
     candidates = materialize(met.unionByName(met2).distinct(), "candidates")
