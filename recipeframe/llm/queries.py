@@ -215,7 +215,7 @@ SPAN = 300
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    matches, members = spans.shared(docs, SPAN)
+    matches, members = spans.shared(docs, SPAN, whole=False)
     return spans.pairs(matches, members, docs.select("doc_id", F.length("text").alias("n")), SPAN)
 
 
