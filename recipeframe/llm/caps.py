@@ -67,6 +67,7 @@ def dropped(records: DataFrame, cap: int, max_share: float | None = None, temper
 
     records: (record_table, record_key, contributor, q_score), one row per record. A null contributor is never capped.
     ``max_share`` also caps a contributor to that share of its table's records (at least 1)."""
+    records = records.select("record_table", "record_key", "contributor", "q_score")
     r = records.where("contributor is not null").withColumn("_a", arrival(F.col("q_score"), F.col("record_key"), temperature, seed))
     limit = F.lit(cap)
     if max_share is not None:

@@ -96,7 +96,7 @@ class Trie:
                 for d in drawn(u):
                     at = self._child(at, d, u)
             rank = (skeleton(word) != word, -n, word)
-            if self.best[at] is None or rank < self.best[at]:
+            if at and (self.best[at] is None or rank < self.best[at]):
                 self.best[at] = rank
 
     def _child(self, at: int, cls: str, unit: str) -> int:
