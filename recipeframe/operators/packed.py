@@ -183,7 +183,7 @@ def parse(s: str | None, field: str = "", leads: frozenset = frozenset()) -> lis
         values = v
     elif (v := _numbered(s)) is not None:
         values = v
-    elif "\n" in s or "\r" in s:
+    elif "\n" in s or "\r" in s or re.match(r"\s*[-*•·–]\s", s):
         values = [_BULLET.sub("", x) for x in re.split(r"[\r\n]+", s)]
     elif "\t" in s.strip():
         values = s.split("\t")

@@ -13,7 +13,22 @@ from pyspark.sql import types as T
 
 from recipeframe.functions.text import calories, clean_list, listify, minutes_of, strip
 
-RECIPE = T.StructType.fromDDL("id bigint, source string, title string, minutes bigint, tags array<string>, steps array<string>, ingredients array<string>, n_ingredients bigint, calories double, rating_mean double, rating_n bigint")
+_WORDS = T.ArrayType(T.StringType())
+RECIPE = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("minutes", T.LongType()),
+        T.StructField("tags", _WORDS),
+        T.StructField("steps", _WORDS),
+        T.StructField("ingredients", _WORDS),
+        T.StructField("n_ingredients", T.LongType()),
+        T.StructField("calories", T.DoubleType()),
+        T.StructField("rating_mean", T.DoubleType()),
+        T.StructField("rating_n", T.LongType()),
+    ]
+)
 RAW_RECIPES = "name string, id bigint, minutes bigint, contributor_id bigint, submitted string, tags string, nutrition string, n_steps bigint, steps string, description string, ingredients string, n_ingredients bigint"
 RAW_INTERACTIONS = "user_id bigint, recipe_id bigint, date string, rating int, review string"
 DISH_LINE = "name string, dish string, description string, recipeIngredient array<string>, recipeInstructions array<string>, author string, keywords array<string>"
@@ -93,7 +108,7 @@ def recipe_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     flat = F.flatten(
         F.transform(
             scripts,
-            lambda s: F.when(F.ltrim(s).startswith("["), F.from_json(s, f"array<{node}>")).otherwise(
+            lambda s: F.when(s.rlike(r"^\s*\["), F.from_json(s, f"array<{node}>")).otherwise(
                 F.concat(F.array(F.from_json(s, node)), F.coalesce(F.from_json(s, f"struct<`@graph`:array<{node}>>")["@graph"], F.array().cast(f"array<{node}>")))
             ),
         )
