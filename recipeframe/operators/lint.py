@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from recipeframe.functions.text import DESCRIPTORS, letters, stem, stemmed, tokens
 
@@ -64,8 +65,8 @@ BASELINE = "PASS (baseline)"
 
 def audit(linted: DataFrame) -> DataFrame:
     """Each flag, and the rows without one, against how often recipes are rated. Rows with two flags count in both."""
-    rows = linted.select(F.explode("lint_flags").alias("flag"), "rating_n", "rating_mean")
-    rows = rows.unionByName(linted.where("lint_pass").select(F.lit(BASELINE).alias("flag"), "rating_n", "rating_mean"))
+    groups = F.concat("lint_flags", F.when(F.col("lint_pass"), F.array(F.lit(BASELINE))).otherwise(F.array().cast(_NONE)))
+    rows = linted.select(F.explode(groups).alias("flag"), "rating_n", "rating_mean")
     share = lambda k: F.avg((F.col("rating_n") >= k).cast("double"))
     t = rows.groupBy("flag").agg(
         F.count(F.lit(1)).alias("n"),
@@ -75,5 +76,5 @@ def audit(linted: DataFrame) -> DataFrame:
         F.avg("rating_n").alias("mean_rating_n"),
         F.avg(F.when(F.col("rating_n") > 0, F.col("rating_mean"))).alias("mean_stars"),
     )
-    base = t.where(F.col("flag") == BASELINE).agg(F.max("share_rated_10").alias("_base"))
-    return t.crossJoin(F.broadcast(base)).withColumn("ratio_10_vs_pass", F.try_divide("share_rated_10", "_base")).drop("_base")  # one row
+    base = F.max(F.when(F.col("flag") == BASELINE, F.col("share_rated_10"))).over(Window.partitionBy(F.lit(0)))  # a row per flag
+    return t.withColumn("ratio_10_vs_pass", F.try_divide("share_rated_10", base))
