@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recipeframe.functions.text import DESCRIPTORS, letters, stem, stemmed, tokens
+from recipeframe.functions.text import DESCRIPTORS, stemmed, tokens
 
 WEEK = 10080
 _NONE = "array<string>"
@@ -14,7 +14,7 @@ _NONE = "array<string>"
 
 def body_words(steps: Column) -> Column:
     """Stemmed words of all steps; seasoning stands for what it is done with."""
-    body = F.array_distinct(F.transform(F.flatten(F.transform(steps, letters)), stem))
+    body = tokens(F.array_join(steps, " "))
     seasons = F.arrays_overlap(body, F.array(F.lit("season"), F.lit("taste")))
     return F.when(seasons, F.array_union(body, F.array(*map(F.lit, ("salt", "pepper", "seasoning"))))).otherwise(body)
 
