@@ -19,16 +19,16 @@ def body_words(steps: Column) -> Column:
     return F.when(seasons, F.array_union(body, F.array(*map(F.lit, ("salt", "pepper", "seasoning"))))).otherwise(body)
 
 
-def unused(ingredients: Column, body: Column) -> Column:
-    """The ingredients that no step mentions."""
+def n_unused(ingredients: Column, body: Column) -> Column:
+    """How many ingredients no step mentions. Each ingredient's words are taken once, then compared."""
     plain = F.array(*[F.lit(w) for w in stemmed(DESCRIPTORS)])
+    contents = F.transform(ingredients, lambda i: F.array_except(tokens(i), plain))
 
-    def missing(i: Column) -> Column:
-        content = F.array_except(tokens(i), plain)
+    def missing(content: Column) -> Column:
         long = lambda t: (F.length(t) > 3) & F.exists(body, lambda b: (F.length(b) > 3) & (b.contains(t) | t.contains(b)))
         return (F.size(content) > 0) & ~F.arrays_overlap(content, body) & ~F.exists(content, long)
 
-    return F.filter(ingredients, missing)
+    return F.size(F.filter(contents, missing))
 
 
 def lint(df: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def lint(df: DataFrame) -> DataFrame:
     d = df.withColumn("_s", s).withColumn("_i", i).withColumn("_body", body_words(F.col("_s")))
     vague = F.arrays_overlap("_body", F.array(F.lit("ingredient"), F.lit("everything")))
     told = (F.size("_s") > 0) & (F.size("_i") > 0) & ~vague
-    d = d.withColumn("_unused", F.when(told, F.size(unused(F.col("_i"), F.col("_body")))).otherwise(0))
+    d = d.withColumn("_unused", F.when(told, n_unused(F.col("_i"), F.col("_body"))).otherwise(0))
     flag = lambda c, name: F.when(c, F.lit(name))
     minutes, cal = F.col("minutes"), F.col("calories")
     flags = F.array_compact(

@@ -274,7 +274,7 @@ def lint_unused(spark: SparkSession, d: str) -> DataFrame:
     r = v.recipes(spark, d).withColumn("_body", lint.body_words(F.coalesce("steps", F.array().cast("array<string>"))))
     vague = F.arrays_overlap("_body", F.array(F.lit("ingredient"), F.lit("everything")))
     told = F.exists("steps", lambda s: s.rlike(r"\S")) & (F.size("ingredients") > 0) & ~vague
-    return r.select("id", F.when(told, F.size(lint.unused(F.col("ingredients"), F.col("_body")))).otherwise(0).cast("bigint").alias("n_unused"))
+    return r.select("id", F.when(told, lint.n_unused(F.col("ingredients"), F.col("_body"))).otherwise(0).cast("bigint").alias("n_unused"))
 
 
 @query(_LINTED + " select flag, count(*) as n from (select unnest(lint_flags) as flag from lp) group by flag")
