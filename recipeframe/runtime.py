@@ -6,9 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
-from pyspark import StorageLevel  # noqa: F401  (kept importable for callers that cache)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -104,5 +102,7 @@ def prefix_sum(df: DataFrame, group: list[str], order: list, bucket: str, value:
     return inner.join(before, [*group, bucket]).withColumn(out, F.col("_in") + F.col("_pre")).drop("_in", "_pre")
 
 
-def path_exists(path: str) -> bool:
-    return Path(path.removeprefix("file:")).exists()
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once no result is read any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
