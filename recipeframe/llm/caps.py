@@ -65,7 +65,8 @@ def arrival(score: Column, key: Column, temperature: float, seed: int) -> Column
 def dropped(records: DataFrame, cap: int, max_share: float | None = None, temperature: float = 0.0, seed: int = 0, salts: int = 256) -> DataFrame:
     """(record_table, record_key) beyond the cap of their contributor.
 
-    records: (record_table, record_key, contributor, q_score), one row per record. A null contributor is never capped.
+    records: (record_table, record_key, contributor, q_score), one row per record (``one_per_record`` joins repeats);
+    other columns are ignored. A null contributor is never capped; an empty table gives an empty result.
     ``max_share`` also caps a contributor to that share of its table's records (at least 1)."""
     records = records.select("record_table", "record_key", "contributor", "q_score")
     r = records.where("contributor is not null").withColumn("_a", arrival(F.col("q_score"), F.col("record_key"), temperature, seed))

@@ -164,7 +164,10 @@ def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
 
 
 def similar(records: DataFrame, key: str, fields: list[str], threshold: float) -> tuple[DataFrame, DataFrame]:
-    """links (a, b, overlap, union) between classes, and members (key, cls, size). Records without words link to none."""
+    """links (a, b, overlap, union) between classes, and members (key, cls, size).
+
+    Null fields are empty, null keys are dropped, repeats of a key are one record, columns other than key and fields are
+    ignored. Records without words (also null or blank ones) link to none; an empty table gives empty results."""
     reps, members = classes(word_sets(records, key, fields))
     return pairs_of_classes(reps, threshold), members
 
