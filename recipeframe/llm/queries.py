@@ -225,7 +225,7 @@ def p9_portions(spark: SparkSession, d: str) -> DataFrame:
 
 
 P9_SQL = r"""
-with g as (select distinct doc_id, hash(substr(text, k, 300)) as h from (select doc_id, text, unnest(range(1, length(text) - 298)) as k from documents)),
+with g as (select distinct doc_id, md5(substr(text, k, 300)) as h from (select doc_id, text, unnest(range(1, length(text) - 298)) as k from documents)),
 s as (select h from g group by h having count(*) > 1)
 select distinct a.doc_id as doc_id_a, b.doc_id as doc_id_b from g a join g b on a.h = b.h and a.doc_id < b.doc_id where a.h in (select h from s)
 """
