@@ -36,10 +36,13 @@ def family_edges(df: DataFrame) -> DataFrame:
     each = d.select("id", F.explode("s").alias("w"))
     freq = each.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(freq, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("o"))
-    d = materialize(d.join(ranked, "id").select("id", "s", "t", F.expr("transform(slice(o, 1, size(o) - cast(ceil(0.6 * size(o) - 1e-9) as int) + 1), x -> x.w)").alias("p")), "sets")
-    met = d.select("id", "s", F.explode("t").alias("tw"), "p").select("id", "s", "tw", F.explode("p").alias("pw"))
+    # parities of the set in 64 bits: bits that differ are at most ingredients that differ, which are at most n1 + n2 - 2 o
+    parity = F.expr("aggregate(s, 0L, (a, w) -> a ^ shiftleft(1L, cast(xxhash64(w) & 63 as int)))").alias("h")
+    d = materialize(d.join(ranked, "id").select("id", "s", "t", parity, F.expr("transform(slice(o, 1, size(o) - cast(ceil(0.6 * size(o) - 1e-9) as int) + 1), x -> x.w)").alias("p")), "sets")
+    met = d.select("id", "s", "h", F.explode("t").alias("tw"), "p").select("id", "s", "h", "tw", F.explode("p").alias("pw"))
     x, y = met.alias("x"), met.alias("y")
     like = "x.tw = y.tw and x.pw = y.pw and x.id < y.id and least(size(x.s), size(y.s)) >= 0.6 * greatest(size(x.s), size(y.s)) - 1e-9"
+    like += " and bit_count(x.h ^ y.h) <= floor(0.25 * (size(x.s) + size(y.s)) + 1e-9)"
     pairs = x.join(y, F.expr(like)).select(F.expr("x.id").alias("a"), F.expr("y.id").alias("b"), F.expr("size(array_intersect(x.s, y.s))").alias("o"), F.expr("size(x.s) + size(y.s)").alias("both"))
     return pairs.where(f"o >= {LIKE} * (both - o) - 1e-9").select("a", "b", (F.col("o") / (F.col("both") - F.col("o"))).alias("jaccard")).distinct()
 
