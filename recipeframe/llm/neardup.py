@@ -35,7 +35,7 @@ from recipeframe.llm.components import components
 from recipeframe.runtime import join_hot, materialize
 
 RARE, FRAGMENTS, EXPAND, LOW = 64, 5, 200, 0.1
-LEVELS = sorted({max(k + 1, round(1.25**k)) if k < 6 else round(1.25**k) + 3 for k in range(60)})  # numbers of pieces
+LEVELS = [*range(1, 7), *(round(1.25**k) + 3 for k in range(6, 60))]  # numbers of pieces
 
 
 def word_sets(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
