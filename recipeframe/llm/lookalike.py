@@ -70,6 +70,8 @@ def skeleton(text: str) -> str:
 
 def units(token: str) -> list[str]:
     """Base characters with their combining marks, each composed."""
+    if token.isascii() or unicodedata.is_normalized("NFC", token) and not any(map(unicodedata.combining, token)):
+        return list(token)
     out: list[str] = []
     for c in unicodedata.normalize("NFD", token):
         if out and unicodedata.combining(c):
@@ -79,6 +81,7 @@ def units(token: str) -> list[str]:
     return [unicodedata.normalize("NFC", u) for u in out]
 
 
+@lru_cache(maxsize=100_000)
 def drawn(unit: str) -> list[str]:
     """The unit's class: the drawn units it stands for, none for an ignorable."""
     return units(skeleton(unit)) if unit.strip() else []
