@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from recipeframe.llm.components import components
 from recipeframe.runtime import bounded_collect, join_hot, materialize, prefix_sum
@@ -153,5 +154,5 @@ def related(members: DataFrame) -> DataFrame:
 def shares(groups: DataFrame, targets: DataFrame) -> DataFrame:
     """split, n_records, n_groups, share reached and target share."""
     got = groups.groupBy("split").agg(F.sum("n_records").alias("n_records"), F.count(F.lit(1)).alias("n_groups"))
-    total = got.agg(F.sum("n_records").alias("_t"))
-    return got.crossJoin(F.broadcast(total)).select("split", "n_records", "n_groups", (F.col("n_records") / F.col("_t")).alias("share")).join(targets.select(F.col("split_name").alias("split"), "target_share"), "split", "full")
+    total = F.sum("n_records").over(Window.partitionBy(F.lit(0)))  # one row per split
+    return got.select("split", "n_records", "n_groups", (F.col("n_records") / total).alias("share")).join(targets.select(F.col("split_name").alias("split"), "target_share"), "split", "full")
