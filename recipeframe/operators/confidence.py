@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from recipeframe.functions.text import contest, copy_key, remake
 
@@ -51,7 +52,7 @@ def confidence(df: DataFrame, meta: DataFrame, interactions: DataFrame) -> DataF
 
 def tier_report(df: DataFrame) -> DataFrame:
     t = df.groupBy("pos_tier").agg(F.count(F.lit(1)).alias("n"), F.median(F.col("rating_n").cast("double")).alias("median_rating_n"), F.avg("remake_n").alias("mean_remake"), F.avg(F.col("is_contest").cast("double")).alias("contest_share"))
-    return t.crossJoin(F.broadcast(t.agg(F.sum("n").alias("_all")))).withColumn("share", F.col("n") / F.col("_all")).drop("_all")
+    return t.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))  # one row per tier
 
 
 def copy_reps(df: DataFrame) -> DataFrame:

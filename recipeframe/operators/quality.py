@@ -23,11 +23,11 @@ def prior(df: DataFrame) -> DataFrame:
 
 
 def score(df: DataFrame) -> DataFrame:
-    """Adds q_rating and q_score; needs lint_pass. The prior is one row and is broadcast."""
-    d = df.drop("q_rating", "q_score").crossJoin(F.broadcast(prior(df).withColumnRenamed("prior", "__prior")))
+    """Adds q_rating and q_score; needs lint_pass. The prior is a scalar subquery, computed once."""
+    p = prior(df).scalar()
     n, m = F.col("rating_n"), F.col("rating_mean")
-    q = F.when(n.isNull() | (n == 0) | m.isNull() | F.isnan(m), F.col("__prior")).otherwise((n * m + F.lit(float(PRIOR_N)) * F.col("__prior")) / (n + PRIOR_N))
-    return d.withColumn("q_rating", q).withColumn("q_score", F.col("q_rating") / F.lit(5.0) * F.col("lint_pass").cast("double")).drop("__prior")
+    q = F.when(n.isNull() | (n == 0) | m.isNull() | F.isnan(m), p).otherwise((n * m + F.lit(float(PRIOR_N)) * p) / (n + PRIOR_N))
+    return df.withColumn("q_rating", q).withColumn("q_score", F.col("q_rating") / F.lit(5.0) * F.col("lint_pass").cast("double"))
 
 
 def quantiles(df: DataFrame, col: str = "q_score", at: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)) -> DataFrame:

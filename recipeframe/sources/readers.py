@@ -94,8 +94,9 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def line_stats(lines: DataFrame) -> DataFrame:
     """lines, rows, skipped, with_dish of numbered lines."""
-    rows = dish_rows(lines).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("dish") != "").alias("with_dish"))
-    return lines.agg(F.count(F.lit(1)).alias("lines")).crossJoin(F.broadcast(rows)).select("lines", "rows", (F.col("lines") - F.col("rows")).alias("skipped"), "with_dish")  # one row
+    rows = dish_rows(lines)
+    n, named = rows.agg(F.count(F.lit(1))).scalar(), rows.agg(F.count_if(F.col("dish") != "")).scalar()
+    return lines.agg(F.count(F.lit(1)).alias("lines")).select("lines", n.alias("rows"), (F.col("lines") - n).alias("skipped"), named.alias("with_dish"))
 
 
 def recipe_pages(pages: DataFrame, html: str = "html") -> DataFrame:
