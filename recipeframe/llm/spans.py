@@ -11,9 +11,8 @@
    through it: matching statistics by backward search over the wavelet matrix give each window's intervals of at least
    ``least`` characters that another document has, and the sets of documents that share a stretch.
    Keys in more than ``HOT`` windows never go to one task: there each window's ``least``-grams are spread by hash over
-   all tasks and joined there, which gives the same stretches.
-5. Pairs are written out within such a set, and between all copies of both sides. Sets of copies of more than ``EXPAND``
-   documents, and stretches in more than ``HOT`` windows, are linked to their least document instead.
+   all tasks and joined there, which gives the same stretches and the same sets of documents.
+5. All pairs are written out within such a set, and between all copies of both sides, large sets block by block.
 
 Characters are compared as stored. Null texts and texts shorter than ``least`` share nothing.
 """
@@ -29,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recipeframe.llm.fmindex import FMIndex
-from recipeframe.runtime import join_hot, materialize
+from recipeframe.runtime import join_hot, materialize, member_pairs
 
-K, W, SHARD_CHARS, HOT, EXPAND = 12, 48, 1_500_000, 2000, 200
+K, W, SHARD_CHARS, HOT = 12, 48, 1_500_000, 2000
 CHUNK = 400_000
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -205,7 +204,11 @@ def _rows(pairs: list[tuple[int, int]], spans: np.ndarray) -> pd.DataFrame:
 
 def hot_matches(hot: DataFrame, least: int) -> DataFrame:
     """The same rows for windows of hot keys: grams of ``least`` characters joined by two 64-bit hashes, spread over all
-    tasks; documents of a gram are linked to its least one."""
+    tasks.
+
+    Two documents with the same character before a gram share the gram before it, too, so a gram gives only the pairs with
+    different characters before it (at the start of a window there is none, which differs from all). A group is the set of
+    documents with one gram and one character before it; equal sets, by their size and 128 bits of hash, are one group."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -214,13 +217,22 @@ def hot_matches(hot: DataFrame, least: int) -> DataFrame:
                 if len(x) >= least:
                     at = np.arange(len(x) - least + 1)
                     h, g = Rolling(x)(at, at + least), Rolling(x[::-1].copy())(len(x) - at - least, len(x) - at)
-                    yield pd.DataFrame({"g1": h.view(np.int64), "g2": g.view(np.int64), "doc_id": doc, "pos": (at + start).astype(np.int32)})
-
-    grams = materialize(hot.select("doc_id", "start", "text").mapInPandas(run, "g1 bigint, g2 bigint, doc_id bigint, pos int"), "grams")
-    lead = grams.groupBy("g1", "g2").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).where("lead < hi")
-    lead = materialize(lead.select(F.struct("g1", "g2").alias("g"), "lead", "n"), "leads")
-    met = join_hot(grams.select(F.struct("g1", "g2").alias("g"), "doc_id", "pos"), lead, "g", "n")
-    links = met.where("doc_id <> lead").select(F.lit(0).alias("kind"), F.col("lead").alias("a"), F.col("doc_id").alias("b"), F.lit(0).alias("start"), F.lit(0).alias("end")).distinct()
+                    before = np.concatenate([[-1], x[: len(at) - 1].astype(np.int32)]).astype(np.int32)
+                    yield pd.DataFrame({"g1": h.view(np.int64), "g2": g.view(np.int64), "doc_id": doc, "pos": (at + start).astype(np.int32), "before": before})
+
+    grams = materialize(hot.select("doc_id", "start", "text").mapInPandas(run, "g1 bigint, g2 bigint, doc_id bigint, pos int, before int"), "grams")
+    common = grams.groupBy("g1", "g2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min("before").alias("b0"), F.max("before").alias("b1"), F.count(F.lit(1)).alias("n")).where("lo < hi")
+    common = materialize(common.select(F.struct("g1", "g2").alias("g"), "n", F.expr("b0 <> b1 or b0 = -1").alias("opens")), "common")
+    met = join_hot(grams.select(F.struct("g1", "g2").alias("g"), "doc_id", "pos", "before"), common, "g", "n")
+    docs = materialize(met.where("opens").select("g", "before", "doc_id").distinct(), "opening")
+    sets = docs.groupBy("g", "before").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("s1"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("s2"))
+    sets = materialize(sets.withColumn("group", F.struct("n", "s1", "s2")), "sets")
+    one = sets.groupBy("group").agg(F.min(F.struct("g", "before")).alias("at"), F.max("n").alias("n"))
+    members = join_hot(docs.select(F.struct("g", "before").alias("at"), F.col("doc_id").alias("item")), materialize(one, "groups"), "at", "n").select("group", "item")
+    a, b = (sets.select("g", F.col("before").alias(f"before_{x}"), F.col("group").alias(x)) for x in "ab")
+    links = a.join(b, "g").where("before_a < before_b or (before_a = -1 and before_b = -1)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pair = member_pairs(links, materialize(members, "groupmembers")).where("x < y").distinct()
+    links = pair.select(F.lit(0).alias("kind"), F.col("x").alias("a"), F.col("y").alias("b"), F.lit(0).alias("start"), F.lit(0).alias("end"))
     spans = met.select(F.lit(1).alias("kind"), F.col("doc_id").alias("a"), F.lit(0).cast("bigint").alias("b"), F.col("pos").alias("start"), (F.col("pos") + least).alias("end"))
     return links.unionByName(spans)
 
@@ -262,17 +274,19 @@ def shared(docs: DataFrame, least: int, whole: bool = True) -> tuple[DataFrame,
     return materialize(out, "matches"), members
 
 
-def pairs(matches: DataFrame, members: DataFrame, lengths: DataFrame, least: int, expand: int = EXPAND) -> DataFrame:
-    """(doc_id_a, doc_id_b) with copies written out; lengths: (doc_id, n) of the texts."""
+def pairs(matches: DataFrame, members: DataFrame, lengths: DataFrame, least: int) -> DataFrame:
+    """(doc_id_a, doc_id_b) with all copies written out; lengths: (doc_id, n) of the texts."""
     links = matches.where("kind = 0").select("a", "b").distinct()
-    few = members.where(f"size <= {expand}")
-    a = links.join(few.select(F.col("rep").alias("a"), F.col("doc_id").alias("da")), "a", "left").select(F.coalesce("da", "a").alias("a"), "b")
-    b = a.join(few.select(F.col("rep").alias("b"), F.col("doc_id").alias("db")), "b", "left").select("a", F.coalesce("db", "b").alias("b"))
+    copied = members.select(F.col("rep").alias("group"), F.col("doc_id").alias("item"))
+    mark = members.select("rep").distinct()
+    alone = links.join(mark.withColumnRenamed("rep", "a"), "a", "left_anti").join(mark.withColumnRenamed("rep", "b"), "b", "left_anti")
+    linked = links.join(alone, ["a", "b"], "left_anti")
+    ends = linked.select(F.col("a").alias("group")).unionByName(linked.select(F.col("b").alias("group"))).distinct()
+    single = ends.join(mark.withColumnRenamed("rep", "group"), "group", "left_anti").select("group", F.col("group").alias("item"))
     long = members.join(lengths.where(F.col("n") >= least).select(F.col("doc_id").alias("rep")), "rep", "left_semi")
-    small = long.where(f"size <= {expand}")
-    within = small.select("rep", F.col("doc_id").alias("a")).join(small.select("rep", F.col("doc_id").alias("b")), "rep").where("a < b").select("a", "b")
-    star = long.where(f"size > {expand} and doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    return b.unionByName(within).unionByName(star).select(F.least("a", "b").alias("doc_id_a"), F.greatest("a", "b").alias("doc_id_b")).distinct()
+    within = long.select(F.col("rep").alias("a"), F.col("rep").alias("b")).distinct()
+    met = member_pairs(linked.unionByName(within), copied.unionByName(single)).where("x <> y")
+    return alone.unionByName(met.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.least("a", "b").alias("doc_id_a"), F.greatest("a", "b").alias("doc_id_b")).distinct()
 
 
 def portions(docs: DataFrame, matches: DataFrame, members: DataFrame, least: int) -> DataFrame:

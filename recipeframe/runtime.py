@@ -90,6 +90,27 @@ def join_hot(facts: DataFrame, dims: DataFrame, key: str, n: str, hot_share: flo
     return left.unionByName(right)
 
 
+def member_pairs(links: DataFrame, members: DataFrame, block: int = 500) -> DataFrame:
+    """(x, y), x <> y unless an item is in both groups: all pairs of an item of group ``a`` and an item of group ``b``, for
+    each row (a, b) of ``links``; for a = b the pairs x < y within the group. ``members``: (group, item), each row once.
+
+    Groups are cut into blocks of about ``block`` items by hash and met block by block, so no key of a join has more than
+    that many members, whatever the size of a group."""
+    size = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    large = materialize(size.where(F.col("n") > block).select("group", "n", F.ceil(F.col("n") / block).cast("int").alias("parts")), "large")
+    cut = join_hot(members, large, "group", "n").select("group", "item", F.expr("cast(pmod(xxhash64(item), parts) as int)").alias("part"))
+    whole = members.join(large.select("group"), "group", "left_anti").select("group", "item", F.lit(0).alias("part"))
+    placed = materialize(cut.unionByName(whole), "placed")
+    parts = large.select("group", "parts")
+    met = links.select("a", "b").join(parts.select(F.col("group").alias("a"), F.col("parts").alias("na")), "a", "left")
+    met = met.join(parts.select(F.col("group").alias("b"), F.col("parts").alias("nb")), "b", "left")
+    met = met.withColumn("pa", F.explode(F.expr("sequence(0, coalesce(na, 1) - 1)"))).withColumn("pb", F.explode(F.expr("sequence(0, coalesce(nb, 1) - 1)")))
+    met = met.where("a <> b or pa <= pb").select("a", "b", "pa", "pb")
+    x = met.join(placed.select(F.col("group").alias("a"), F.col("part").alias("pa"), F.col("item").alias("x")), ["a", "pa"])
+    y = x.join(placed.select(F.col("group").alias("b"), F.col("part").alias("pb"), F.col("item").alias("y")), ["b", "pb"])
+    return y.where("a <> b or pa <> pb or x < y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
 def prefix_sum(df: DataFrame, group: list[str], order: list, bucket: str, value: str, out: str) -> DataFrame:
     """Running sum of ``value`` before each row within ``group``, in the order (bucket, *order).
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recipeframe.llm import neardup, spans
 from recipeframe.llm.fmindex import FMIndex
+from recipeframe.runtime import member_pairs
 
 
 def similar(rows, t):
@@ -129,6 +130,33 @@ def test_shared_spans(spark, monkeypatch, seed, hot):
             assert r["shared_chars"] == covered(docs, r["doc_id"], 300), r
 
 
+@pytest.mark.parametrize("seed,whole", [(3, True), (4, False)])
+def test_pairs_of_hot_stretches_are_complete(spark, monkeypatch, seed, whole):
+    monkeypatch.setattr(spans, "HOT", 2)
+    docs, rnd = corpus(seed), random.Random(seed)
+    text = lambda k: "".join(rnd.choice("abcdefgh") for _ in range(k))
+    header, passage = text(260), text(330)
+    docs |= {200 + i: text(rnd.randrange(99)) + header + text(rnd.randrange(99)) for i in range(20)}  # hot, too short to share
+    tail = text(60)
+    docs |= {300 + i: text(50) + header + tail + text(50) for i in range(3)}  # a rare stretch that starts at the hot header
+    docs |= {400 + i: text(rnd.randrange(99)) + passage + text(rnd.randrange(99)) for i in range(40)}
+    docs |= {500 + i: docs[1] for i in range(210)}  # exact copies
+    docs |= {800: "ab" * 400, 801: "ba" * 300, 802: "b" + "ab" * 160, 803: "a" * 400, 804: "a" * 301}
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    matches, members = spans.shared(df, 300, whole=whole)
+    got = [tuple(r) for r in spans.pairs(matches, members, df.select("doc_id", F.length("text").alias("n")), 300).collect()]
+    assert len(got) == len(set(got)) and set(got) == shared_pairs(docs, 300)
+
+
+def test_member_pairs(spark):
+    groups = {1: range(0, 70), 2: range(60, 65), 3: [900], 4: range(100, 135)}
+    members = spark.createDataFrame([(g, i) for g, x in groups.items() for i in x], "group bigint, item bigint")
+    for links in ([(1, 1)], [(1, 4), (4, 4)], [(1, 3), (2, 3), (2, 2)], [(1, 2)]):
+        got = [tuple(r) for r in member_pairs(spark.createDataFrame(links, "a bigint, b bigint"), members, block=8).collect()]
+        want = [(min(x, y), max(x, y)) for a, b in links for x in groups[a] for y in groups[b] if a != b or x < y]
+        assert sorted(got) == sorted(want)
+
+
 def test_spans_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     matches, members = spans.shared(df, 300)
