@@ -17,9 +17,8 @@ Filter. Each record carries its words' parities in 128 bits; the bits in which t
 in which they differ, and those are at most n1 + n2 - 2o. This runs inside the join, so only close pairs leave it.
 
 Count. The partial overlap of each surviving pair is counted in each fragment separately and summed per pair.
-Nothing is sampled or capped: every pair at or above the threshold is found, whatever the data. Groups of copies up to
-``EXPAND`` are written out as pairs; larger ones are linked to their least record (and its links to other classes hold
-for all of them), as their pairs would grow with the square.
+Nothing is sampled or capped: every pair at or above the threshold is found and written out, whatever the data. Classes
+of equal sets are expanded block by block; their pairs grow with the square of their size.
 """
 
 from __future__ import annotations
@@ -32,9 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recipeframe.llm.components import components
-from recipeframe.runtime import join_hot, materialize
+from recipeframe.runtime import join_hot, materialize, member_pairs
 
-RARE, FRAGMENTS, EXPAND, LOW = 64, 5, 200, 0.1
+RARE, FRAGMENTS, LOW = 64, 5, 0.1
 LEVELS = [*range(1, 7), *(round(1.25**k) + 3 for k in range(6, 60))]  # numbers of pieces
 
 
@@ -172,16 +171,21 @@ def similar(records: DataFrame, key: str, fields: list[str], threshold: float) -
     return pairs_of_classes(reps, threshold), members
 
 
-def pairs(links: DataFrame, members: DataFrame, expand: int = EXPAND) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: links between all members of linked classes and within classes of copies; of classes
-    with more than ``expand`` copies only the least record stands for the others outside, and pairs with each of them."""
-    shown = members.where((F.col("size") <= expand) | (F.col("key") == F.col("cls")))
-    between = links.select("a", "b").join(shown.select(F.col("cls").alias("a"), F.col("key").alias("ka")), "a").join(shown.select(F.col("cls").alias("b"), F.col("key").alias("kb")), "b")
-    few = members.where(f"size between 2 and {expand}")
-    within = few.select("cls", F.col("key").alias("ka")).join(few.select("cls", F.col("key").alias("kb")), "cls").where("ka < kb")
-    star = members.where(f"size > {expand} and key <> cls").select(F.col("cls").alias("ka"), F.col("key").alias("kb"))
-    both = between.select("ka", "kb").unionByName(within.select("ka", "kb")).unionByName(star)
-    return both.select(F.least("ka", "kb").alias("id_a"), F.greatest("ka", "kb").alias("id_b"))
+def pairs(links: DataFrame, members: DataFrame, expand: int | None = None) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: all pairs between the members of linked classes and within classes.
+
+    With ``expand`` a short form that is not all pairs: of classes with more than ``expand`` records (equal word sets, not
+    always equal texts) only the least one stands for the others outside, and pairs with each of them."""
+    placed = members.select(F.col("cls").alias("group"), F.col("key").alias("item"), "size")
+    within = members.where("key = cls and size > 1").select(F.col("cls").alias("a"), F.col("cls").alias("b"), "size")
+    star = None
+    if expand is not None:
+        placed, within = placed.where((F.col("size") <= expand) | (F.col("group") == F.col("item"))), within.where(F.col("size") <= expand)
+        star = members.where((F.col("size") > expand) & (F.col("key") != F.col("cls"))).select(F.col("cls").alias("x"), F.col("key").alias("y"))
+    both = member_pairs(links.select("a", "b").unionByName(within.select("a", "b")), placed.select("group", "item"))
+    if star is not None:
+        both = both.unionByName(star)
+    return both.select(F.col("x").alias("id_a"), F.col("y").alias("id_b"))
 
 
 def groups(links: DataFrame, members: DataFrame) -> DataFrame:

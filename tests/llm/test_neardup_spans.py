@@ -49,6 +49,15 @@ def test_copies_and_edge_cases(spark):
         neardup.similar(df, "id", ["title"], 0.4)
 
 
+def test_large_classes_of_different_texts(spark):
+    rows = {i: ("salt pepper soup bread", "Bread: soup, PEPPER salt")[i % 2] for i in range(230)}  # one word set, two texts
+    rows |= {300 + i: "salt pepper soup bread tea" for i in range(3)} | {400: "nothing like it"}
+    df = spark.createDataFrame(list(rows.items()), "id bigint, title string")
+    got = [tuple(r) for r in neardup.pairs(*neardup.similar(df, "id", ["title"], 0.7)).collect()]
+    want = similar({k: t.lower().replace(":", "").replace(",", "").split() for k, t in rows.items()}, 0.7)
+    assert len(got) == len(set(got)) == 233 * 232 // 2 and set(got) == want
+
+
 def statistics(texts, owner, least):
     out = {}
     for i, t in enumerate(texts):
