@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recipeframe.runtime import join_hot, materialize
+
 OUT = "field string, pos bigint, value string, error string"
 CLOSERS = {"[": "]", "(": ")", "{": "}", "c(": ")"}
 _WS = re.compile(r"\s*")
@@ -205,40 +207,67 @@ def parse(s: str | None, field: str = "", leads: frozenset = frozenset()) -> lis
     return out
 
 
-def lead_words(df: DataFrame, fields: list[str], limit: int) -> dict[str, frozenset]:
-    """Words that start values in rows whose lists are quoted, the ``limit`` most frequent per field.
+class _Questions:
+    """Takes the place of ``leads`` and notes the words that are looked up."""
+
+    def __init__(self) -> None:
+        self.words: set[str] = set()
+
+    def __contains__(self, word: str) -> bool:
+        self.words.add(word)
+        return False
+
+
+def questions(s: str | None, field: str = "") -> set[str]:
+    """The words of which ``parse`` must know whether they are leads; no answer changes what else it asks."""
+    if s is None or "," not in s or (s.startswith("[") and s.endswith("]")):  # a closed list asks nothing
+        return set()
+    q = _Questions()
+    parse(s, field, q)
+    return q.words
 
-    Counted over all rows; the collected table is bounded by len(fields) * limit rows."""
+
+def lead_words(df: DataFrame, fields: list[str]) -> DataFrame:
+    """(field, word): the words that start values in rows whose lists are quoted, each once; all of them, over all rows."""
     pattern = r"""(?:^\s*\[|,\s?)["']([^\s"',;]+)"""
     words = F.array(*[F.struct(F.lit(f).alias("field"), F.regexp_extract_all(F.col(f), F.lit(pattern), 1).alias("w")) for f in fields])
     each = df.where(" or ".join(f"`{f}` like '[%'" for f in fields)).select(F.explode(words).alias("x")).select("x.field", F.explode("x.w").alias("word"))
-    n = each.groupBy("field", F.lower("word").alias("word")).count()
-    out = {}
-    for f in fields:
-        rows = n.where(F.col("field") == f).orderBy(F.desc("count"), "word").limit(limit).collect()
-        out[f] = frozenset(r["word"] for r in rows)
-    return out
+    return each.select("field", F.lower("word").alias("word")).distinct()
 
 
-def explode_packed(df: DataFrame, key: str, fields: list[str], lead_limit: int = 4000) -> DataFrame:
+def explode_packed(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """One row per value: (key, field, pos from 1, value, error).
 
     Repeats of a key are one record (its least written form counts, nulls aside); a null key is kept as one record.
-    Null and empty cells give no rows. Columns other than key and fields are ignored, whatever they are called."""
+    Null and empty cells give no rows. Columns other than key and fields are ignored, whatever they are called.
+    A record is parsed with those of the lead words that its ambiguous commas ask for, found by a join: nothing is bounded
+    by the number of words."""
     used = df.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_f{i}") for i, f in enumerate(fields)])
     named = used.select(*[F.col(f"_f{i}").alias(f) for i, f in enumerate(fields)])
-    leads = lead_words(named, fields, lead_limit)
     one = used.groupBy("_key").agg(*[F.min(f"_f{i}").alias(f"_f{i}") for i in range(len(fields))])
     kind = dict(used.dtypes)["_key"]
 
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(k, f, w) for i, f in enumerate(fields) for k, s in zip(b["_key"], b[f"_f{i}"]) for w in sorted(questions(s, f))]
+            if rows:
+                yield pd.DataFrame(dict(zip(("_key", "field", "word"), map(list, zip(*rows)))))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
             for i, f in enumerate(fields):
-                for k, s in zip(b["_key"], b[f"_f{i}"]):
-                    for pos, (v, e) in enumerate(parse(s, f, leads[f]), 1):
+                for k, s, known in zip(b["_key"], b[f"_f{i}"], b["_leads"]):
+                    leads = frozenset() if known is None else frozenset(x["word"] for x in known if x["field"] == f)
+                    for pos, (v, e) in enumerate(parse(s, f, leads), 1):
                         for c, x in zip(cols, (k, f, pos, v, e)):
                             c.append(x)
             yield pd.DataFrame(dict(zip(("_key", "field", "pos", "value", "error"), cols)))
 
-    return one.mapInPandas(run, f"_key {kind}, {OUT}").withColumnRenamed("_key", key)
+    asked = materialize(one.mapInPandas(ask, f"_key {kind}, field string, word string"), "asked")
+    known = asked.groupBy("field", "word").agg(F.count(F.lit(1)).alias("n")).join(lead_words(named, fields), ["field", "word"], "left_semi")
+    known = materialize(known.select(F.struct("field", "word").alias("lead"), "n"), "leads")
+    answers = join_hot(asked.select("_key", F.struct("field", "word").alias("lead")), known, "lead", "n")
+    answers = answers.groupBy(F.col("_key").alias("_k")).agg(F.collect_list("lead").alias("_leads"))
+    told = one.join(answers, F.col("_key").eqNullSafe(F.col("_k")), "left").drop("_k")
+    return told.mapInPandas(run, f"_key {kind}, {OUT}").withColumnRenamed("_key", key)

@@ -73,3 +73,13 @@ def test_explode(spark):
     assert rows == [(0, "nutrition", 1, "1"), (0, "nutrition", 2, "2"), (0, "tags", 1, "x"), (0, "tags", 2, "y"), (1, "tags", 1, "a"), (1, "tags", 2, "b")]
     assert got.where("id = 3").count() == 5000
     assert explode_packed(df.where("false"), "id", ["tags"]).count() == 0
+
+
+def test_rare_lead_words_separate(spark):
+    rows = [(i, "[" + ", ".join(f"'w{j} x'" for j in range(i % 2, 4500, 2)) + "]") for i in range(4)]
+    rows += [(4, "['rare thing', 'w1 y']"), (5, "mild, rare thing|w1 z, other"), (None, "w7, rare"), (6, "a, rare b; c"), (7, None), (8, "['open, rare; w2")]
+    got = explode_packed(spark.createDataFrame(rows, "id bigint, tags string"), "id", ["tags"]).where("id is null or id > 4")
+    values = {}
+    for r in got.orderBy("id", "pos").collect():
+        values.setdefault(r["id"], []).append(r["value"])
+    assert values[5] == ["mild", "rare thing", "w1 z, other"] and values[None] == ["w7", "rare"] and values[6] == ["a", "rare b", "c"]
