@@ -6,8 +6,10 @@
    label_trust) * posterior; one without a source has its posterior alone.
 3. Rates r in [0, max_repeats] per document minimise the squared distance of the expected token totals per source,
    sum of r * tokens * membership, from share * budget. The gradient of a document's rate depends on its membership only,
-   so documents of equal (rounded) membership and cap are summed into cells first; a step is one distributed pass that
-   brings back one number per source. Steps are scaled by each source's expected tokens, which makes the step 1 stable.
+   so documents of about equal membership (the same to two decimals) and equal cap are summed into cells first, which
+   carry their exact sums of tokens * membership; a step is one distributed pass that brings back one number per source.
+   Steps are scaled by each source's expected tokens, which makes the step 1 stable. The steps are then taken for each
+   document with its own membership, unrounded, and the expected totals are summed over the documents.
 4. Copies are drawn by systematic sampling along a running sum of rates, in strata of about equal length and in hash
    order within them, so a source's copies are within one of the sum of its rates, their tokens close to the expected
    ones, and no document is used more often than its cap.
@@ -156,16 +158,20 @@ def solve(docs: DataFrame, targets: DataFrame, vocabulary: str | None = None, bu
     sources = model.sources
     k = len(sources)
     onehot = F.array(*[F.when(F.col("source") == s, 1.0).otherwise(0.0) for s in sources]) if k else F.expr("cast(array() as array<double>)")
-    soft = F.zip_with(onehot, "posterior", lambda a, p: F.round(label_trust * a + (1 - label_trust) * p, 2))
-    member = F.when(F.col("source").isNotNull(), soft).otherwise(F.transform("posterior", lambda p: F.round(p, 2)))
+    soft = F.zip_with(onehot, "posterior", lambda a, p: label_trust * a + (1 - label_trust) * p)
+    member = F.when(F.col("source").isNotNull(), soft).otherwise(F.col("posterior"))
     caps = F.create_map(*[F.lit(x) for s in sources for x in (s, cap.get(s, 0))]) if k else F.create_map().cast("map<string,int>")
     most = F.coalesce(caps[F.col("source")], F.lit(0))
     if unlabelled and k:  # one that may belong to several is used as often as the likeliest of them allows
         likeliest = F.element_at(F.array(*[F.lit(s) for s in sources]), F.array_position("posterior", F.array_max("posterior")).cast("int"))
         most = F.when(F.col("source").isNotNull(), most).otherwise(F.coalesce(caps[likeliest], F.lit(0)))
     d = m.select("doc_id", "source", "tokens", member.alias("member"), most.alias("cap"))
-    cells = materialize(d.groupBy("member", "cap").agg(F.sum("tokens").alias("tokens")), "cells")
-    sums = cells.agg(*[F.sum(F.col("tokens") * F.col("member")[i]).alias(f"t{i}") for i in range(k)], *[F.sum(F.col("tokens") * F.col("cap") * F.col("member")[i]).alias(f"c{i}") for i in range(k)]).first() if k else {}
+    part = [F.sum(F.col("tokens") * F.col("member")[i]) for i in range(k)]
+    near = F.transform("member", lambda x: F.round(x, 2))  # only the key of a cell
+    cells = d.groupBy(near.alias("near"), "cap").agg(F.sum("tokens").alias("tokens"), F.array(*part).cast("array<double>").alias("sums"))
+    mean = F.when(F.col("tokens") > 0, F.transform("sums", lambda x: x / F.col("tokens"))).otherwise(F.col("near"))
+    cells = materialize(cells.select(mean.alias("member"), "cap", "tokens"), "cells")
+    sums = cells.agg(*[x.alias(f"t{i}") for i, x in enumerate(part)], *[F.sum(F.col("tokens") * F.col("cap") * F.col("member")[i]).alias(f"c{i}") for i in range(k)]).first() if k else {}
     have = np.array([sums[f"t{i}"] or 0.0 for i in range(k)])
     room = np.array([sums[f"c{i}"] or 0.0 for i in range(k)])
     want = np.array([share.get(s, 0.0) for s in sources])
@@ -182,6 +188,8 @@ def solve(docs: DataFrame, targets: DataFrame, vocabulary: str | None = None, bu
             break
         history.append(error.tolist())
         got = _totals(cells, history, k)
+    if history:
+        got = _totals(d, history, k)  # over documents: the steps saw cells only
     b = docs.sparkSession.sparkContext.broadcast(history)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

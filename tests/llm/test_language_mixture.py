@@ -100,6 +100,19 @@ def test_mixture_with_budget_and_soft_labels(spark):
     assert r["lo"] >= 0 and r["over"] <= 1e-9
 
 
+def test_expected_totals_count_small_posteriors(spark):
+    docs, targets = mix_docs(spark), spark.createDataFrame(TARGETS, "source string, target_share double, max_repeats int")
+    mix = mixture.solve(docs, targets, label_trust=0.9, unlabelled=True)
+    vocabulary = mixture.default_vocabulary()
+    rates = {r["doc_id"]: r["rate"] for r in mix.rates.collect()}
+    want = [0.0] * len(mix.sources)
+    for r in mixture.measured(docs, mixture.classifier(docs, vocabulary), vocabulary).collect():
+        for i, (s, p) in enumerate(zip(mix.sources, r["posterior"])):
+            want[i] += rates[r["doc_id"]] * r["tokens"] * (p if r["source"] is None else 0.9 * (r["source"] == s) + 0.1 * p)
+    assert list(mix.expected) == pytest.approx(want, rel=1e-6)
+    assert all(abs(e / sum(want) - t) < 0.005 for e, t in zip(mix.expected, (0.625, 0.375)))
+
+
 def test_mixture_of_nothing(spark):
     docs, targets = mix_docs(spark), spark.createDataFrame(TARGETS, "source string, target_share double, max_repeats int")
     assert mixture.draw(mixture.solve(docs.where("false"), targets)).count() == 0
