@@ -1,27 +1,37 @@
 """Several values packed in one field: a parsing expression grammar over the string, one row per value out.
 
-The grammar, with ordered alternatives (the first that consumes the whole string wins):
-
-    field    <- bracketed / numbered / lines / tabbed / csv / delimited / spaced / single
-    bracketed<- ('[' / '(' / '{' / 'c(') items closer            -- closer belongs to the opener
-    items    <- ws (item (ws sep ws item)* ws sep?)? ws
-    item     <- quoted &(ws (sep / closer)) / bare
+Every alternative is a rule that takes the whole string or fails and gives its input back; ``FIELD`` tries them in order:
+
+    field    <- square / call / brace / round / decimals / numbers / numbered / lines / tabbed / csv / delimited / commas / slashed / single
+    square   <- '[' items ']' end / '[' &quote items end           -- without its closer: open_bracket
+    call     <- 'c(' items ')' end / 'c(' &quote items end
+    brace    <- '{' items(',' or ';') '}' end / '{' &quote items end
+    round    <- !numbered '(' &(quote / digit / ')') items ')' end
+    items    <- (ws item ws (sep / end))*
+    item     <- quoted &(ws (sep / end)) / '[' text ']' &(ws (sep / end)) / mended &(sep / end) / bare
     quoted   <- '"' (escape / '""' / [^"])* '"'  and the same with single quotes
-    csv      <- (quoted / plain) ((',' / ';') (quoted / plain))*  -- one separator throughout
-    numbered <- mark(1) value (mark(2) value)*                    -- '1)', '(1)', '1.', '1 -', 'Step 1:'
-    lines    <- bullet? value (newline bullet? value)*
-    delimited<- value (('|' / ';' / '~' / '/' / ',') value)*
-
-A quote that doesn't close before a separator makes ``quoted`` fail; the parser goes back and takes the item as bare
-text, with the error flag ``bad_quote``. A bracket that never closes gives ``open_bracket``. A comma next to another
-delimiter is ambiguous ("breads, quick; vegan" against "vegan, mild; quick"): it separates only where the word after it
-is one that starts values in unambiguous rows (``leads``).
+    mended   <- quote text quote                                   -- quotes inside: bad_quote
+    decimals <- decimal (junk decimal)* junk?                      -- a comma is the decimal point
+    numbers  <- (number / junk)*
+    numbered <- mark(1) text (mark(2) text)*                       -- '1)', '(1)', '1.', '1 -', 'Step 1:'
+    lines    <- (line newline)+ line? / bullet text                -- line <- bullet? text
+    tabbed   <- text (tab text)+
+    csv      <- cell (sep cell)*, one of them quoted               -- one sep throughout; cell <- quoted / !quote text
+    delimited<- piece (('|' / '~' / ';') piece)+                   -- piece <- text (leading comma text)*
+    commas   <- text (leading comma text)*, one comma at least
+    slashed  <- text (ws '/' ws text)+
+    single   <- bullet? text
+
+A quote that doesn't close before a separator makes ``quoted`` fail; the parser goes back and takes ``mended`` or bare
+text, with the error flag ``bad_quote``. A comma next to another delimiter, or before a space, is ambiguous ("breads,
+quick; vegan" against "vegan, mild; quick"): it leads to a value where the two words after it (else the one word) start
+values in quoted lists more often than they follow commas inside values there (``lead_words``).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,12 +40,14 @@ from pyspark.sql import functions as F
 from recipeframe.runtime import join_hot, materialize
 
 OUT = "field string, pos bigint, value string, error string"
-CLOSERS = {"[": "]", "(": ")", "{": "}", "c(": ")"}
-_WS = re.compile(r"\s*")
-_DQ = re.compile(r'"((?:[^"\\]|\\.|"")*)"', re.S)
-_SQ = re.compile(r"'((?:[^'\\]|\\.|'')*)'", re.S)
-_OPEN = re.compile(r"\s*(c\(|[\[({])")
-_NUMBER = re.compile(r"[-+]?\d+(?:[.,]\d+)?")
+Leads = Callable[[str], bool]
+Result = tuple[list[str], str] | None  # values and error flag; None: the rule failed
+Rule = Callable[[str, Leads], Result]
+
+_NUMBER = re.compile(r"[-+]?\d+(?:\.\d+)?")
+_NUMERIC = re.compile(r"[\s\d.,;|~/+-]*")
+_DECIMALS = re.compile(r"\s*\d+,\d+(?:\s*[;|~/\s]\s*\d+,\d+)+\s*[;|~/]?\s*|\s*\d+,\d+\s*[;|~/]\s*")
+_DECIMAL = re.compile(r"\d+,\d+")
 _MARKS = [
     lambda k: re.compile(rf"(?:(?<=\s)|^){k}\)\s+"),
     lambda k: re.compile(rf"(?:(?<=\s)|^)\({k}\)\s+"),
@@ -44,9 +56,12 @@ _MARKS = [
     lambda k: re.compile(rf"(?:(?<=\s)|^)[Ss]tep\s+{k}\s*[:.)-]\s*"),
 ]
 _BULLET = re.compile(r"^\s*(?:[-*•·–]\s+|\(?\d+[.):]\s+|\d+\s+[-–]\s+)")
+_BULLETED = re.compile(r"\s*[-*•·–]\s")
+_LINE_END = re.compile(r"[\r\n]+")
+_SLASH = re.compile(r"\s/\s|(?<!\d)/|/(?!\d)")
 _ESC = re.compile(r"\\(u[0-9a-fA-F]{4}|x[0-9a-fA-F]{2}|.)", re.S)
 _PLAIN_ESC = {"n": "\n", "t": "\t", "r": "\r"}
-_LEAD = re.compile(r"\s*[\"'(]*([^\s,;|~\"']+)")
+_LEAD = re.compile(r"\s*[\"'(]*([^\s,;|~\"']+)(?:\s+([^\s,;|~\"']+))?")
 
 
 def unescape(s: str, quote: str) -> str:
@@ -56,183 +71,206 @@ def unescape(s: str, quote: str) -> str:
     return _ESC.sub(lambda m: chr(int(m[1][1:], 16)) if m[1][0] in "ux" and len(m[1]) > 1 else _PLAIN_ESC.get(m[1], m[1]), s)
 
 
-def _quoted(s: str, i: int, seps: str, closer: str) -> tuple[str, int] | None:
-    """quoted &(ws (sep / closer / end)); shortest first, going on past doubled quotes only where needed."""
-    m = (_DQ if s[i] == '"' else _SQ).match(s, i)
-    if m is None:
+def _patterns(seps: str) -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern]:
+    """item's alternatives in order as one terminal (quoted / bracketed / bare), mended, its end, bare text."""
+    sep = f"[{seps}]"
+    good = (
+        rf"""\s*(?:"(?P<dq>(?:[^"\\]|\\.|"")*)"(?=\s*(?:{sep}|\Z))|'(?P<sq>(?:[^'\\]|\\.|'')*)'(?=\s*(?:{sep}|\Z))"""
+        rf"""|\[(?P<br>[^\[\]]*)\](?=\s*(?:{sep}|\Z))|(?P<bare>(?!["'])[^{seps}]*))\s*(?:{sep}|\Z)"""
+    )
+    return re.compile(good, re.S), re.compile(rf"\s*(?P<q>[\"'])(.*?)(?P=q)(?:{sep}|\Z)", re.S), re.compile(rf"[\"'](?={sep}|\Z)"), re.compile(rf"\s*([^{seps}]*)(?:{sep}|\Z)")
+
+
+_ITEM = {seps: _patterns(seps) for seps in (",", ",;")}
+
+
+def items(s: str, seps: str) -> tuple[list[str], str]:
+    """items end; never fails, as every alternative of item ends in bare text."""
+    good, mended, close, bare = _ITEM[seps]
+    out, error, i, last = [], "", 0, None
+    while i < len(s):
+        m = good.match(s, i)
+        if m is not None:
+            kind = m.lastgroup
+            v = m[kind]
+            out.append(unescape(v, '"') if kind == "dq" else unescape(v, "'") if kind == "sq" else v)
+        else:  # a quote that doesn't close where a value ends
+            error = "bad_quote"
+            if last is None:
+                last = max((x.start() for x in close.finditer(s)), default=-1)
+            m = mended.match(s, i) if i < last else None
+            if m is None:
+                m = bare.match(s, i)
+                out.append(m[1].strip().strip("\"'"))
+            else:
+                out.append(m[2].strip(m["q"]))
+        i = m.end()
+    return out, error
+
+
+def enclosed(opener: str, closer: str, seps: str, needs: str = "", open_end: bool = True) -> Rule:
+    closed = re.compile(rf"\s*{re.escape(opener)}{needs}(.*){re.escape(closer)}\s*\Z", re.S)
+    unclosed = re.compile(rf"\s*{re.escape(opener)}(?=\s*[\"'])(.*)\Z", re.S)
+
+    def rule(s: str, leads: Leads) -> Result:
+        if (m := closed.match(s)) is not None:
+            return items(m[1], seps)
+        if open_end and (m := unclosed.match(s)) is not None:
+            values, error = items(m[1].rstrip(), seps)
+            return values, error or "open_bracket"
         return None
-    j = _WS.match(s, m.end()).end()
-    at_end = j == len(s) if not closer else (s.startswith(closer, j) and not s[j + len(closer) :].strip())
-    if at_end or (j < len(s) and s[j] in seps):
-        return unescape(m[1], s[i]), m.end()
-    return None
 
+    return rule
 
-def _items(s: str, i: int, end: int, seps: str, closer: str) -> tuple[list[str], str] | None:
-    """items up to ``end``; a bare item ends at a separator that is followed by a value."""
-    out, error = [], ""
-    body = s[: end + len(closer)]
-    while True:
-        i = _WS.match(body, i).end()
-        if i >= end:
-            return out, error
-        if body[i] in seps:
-            i += 1
-            continue
-        if body[i] in "\"'" and (q := _quoted(body, i, seps, closer)):
-            out.append(q[0])
-            i = q[1]
-        else:
-            if body[i] in "\"'":
-                error = "bad_quote"
-            j = i
-            while j < end and body[j] not in seps:
-                j += 1
-            if error and body[i] in "\"'":
-                # going back: the text up to the next quote that closes before a separator is one bare value
-                k = j
-                while k < end and not (body[k - 1] == body[i] and k - 1 > i):
-                    k += 1
-                    while k < end and body[k] not in seps:
-                        k += 1
-                j = k if k <= end and body[k - 1] == body[i] and k - 1 > i else j
-                out.append(body[i:j].strip().strip(body[i]))
-            else:
-                out.append(body[i:j].rstrip())
-            i = j
 
+def unless(other: Rule, rule: Rule) -> Rule:
+    """!other rule"""
+    return lambda s, leads: None if other(s, leads) is not None else rule(s, leads)
 
-def _bracketed(s: str) -> tuple[list[str], str] | None:
-    m = _OPEN.match(s)
-    if m is None:
+
+def choice(*rules: Rule) -> Rule:
+    """The first rule that takes the whole string; the others never see what a failed one did."""
+
+    def rule(s: str, leads: Leads) -> Result:
+        for r in rules:
+            if (got := r(s, leads)) is not None:
+                return got
         return None
-    closer, last = CLOSERS[m[1]], s.rstrip()
-    if last.endswith(closer):
-        return _items(s, m.end(), len(last) - 1, ",;" if closer == "}" else ",", closer)
-    nxt = s[m.end() :].lstrip()
-    if nxt[:1] in ("'", '"') and m[1] != "(":
-        values, error = _items(s, m.end(), len(last), ",", "")
-        return values, error or "open_bracket"
-    return None
 
+    return rule
+
+
+def decimals(s: str, leads: Leads) -> Result:
+    return (_DECIMAL.findall(s), "") if _DECIMALS.fullmatch(s) else None
+
+
+def numbers(s: str, leads: Leads) -> Result:
+    return (_NUMBER.findall(s), "") if _NUMERIC.fullmatch(s) else None
 
-def _numbered(s: str) -> list[str] | None:
+
+def numbered(s: str, leads: Leads) -> Result:
+    t = s.lstrip()
     for mark in _MARKS:
-        m = mark(1).match(s.lstrip())
-        if not m:
+        m = mark(1).match(t)
+        if m is None:
             continue
-        t, out, k, at = s.lstrip(), [], 1, m.end()
+        out, k, at = [], 1, m.end()
         while n := mark(k + 1).search(t, at):
             out.append(t[at : n.start()])
             k, at = k + 1, n.end()
-        return [*out, t[at:]]
+        return [*out, t[at:]], ""
     return None
 
 
-def _csv(s: str, sep: str) -> list[str] | None:
-    """One separator throughout, at least one value in quotes, quotes only around whole values."""
-    out, i, some = [], 0, False
-    while True:
-        i = _WS.match(s, i).end()
-        if i < len(s) and s[i] == '"':
-            q = _quoted(s, i, sep, "")
-            if q is None:
+def lines(s: str, leads: Leads) -> Result:
+    if "\n" in s or "\r" in s or _BULLETED.match(s):
+        return [_BULLET.sub("", x) for x in _LINE_END.split(s)], ""
+    return None
+
+
+def tabbed(s: str, leads: Leads) -> Result:
+    return (s.split("\t"), "") if "\t" in s.strip() else None
+
+
+def csv(sep: str) -> Rule:
+    cell = re.compile(rf"""\s*(?:"(?P<quoted>(?:[^"\\]|\\.|"")*)"\s*|(?P<plain>(?!")[^{sep}]*))(?P<end>{sep}|\Z)""", re.S)
+
+    def rule(s: str, leads: Leads) -> Result:
+        if '"' not in s:
+            return None
+        out, some, i = [], False, 0
+        while True:
+            m = cell.match(s, i)
+            if m is None:
                 return None
-            some = True
-            out.append(q[0])
-            i = _WS.match(s, q[1]).end()
-        else:
-            j = s.find(sep, i)
-            j = len(s) if j < 0 else j
-            out.append(s[i:j])
-            i = j
-        if i >= len(s):
-            return out if some else None
-        i += 1
-
-
-def _split_commas(piece: str, leads: frozenset, spaced_only: bool) -> list[str]:
-    parts = piece.split(",")
-    if len(parts) == 1:
-        return parts
-    out = [parts[0]]
-    for p in parts[1:]:
-        m = _LEAD.match(p)
-        if (m and m[1].lower() in leads) or (spaced_only and p[:1] not in (" ", "")) or not p.strip():
+            if m["quoted"] is not None:
+                some = True
+                out.append(unescape(m["quoted"], '"'))
+            else:
+                out.append(m["plain"])
+            i = m.end()
+            if not m["end"]:
+                return (out, "") if some else None
+
+    return rule
+
+
+def piece(s: str, leads: Leads, unspaced: bool) -> list[str]:
+    """text (leading comma text)*; with ``unspaced`` a comma without a space after it leads, too."""
+    first, *rest = s.split(",")
+    out = [first]
+    for p in rest:
+        if leads(p) or (unspaced and p[:1] not in (" ", "")) or not p.strip():
             out.append(p)
         else:
             out[-1] += "," + p
     return out
 
 
-def _numeric(s: str) -> list[str] | None:
-    """numbers <- number (junk number)*; a comma is a decimal point where another separator stands and no point does."""
-    if re.fullmatch(r"[\s\d.,;|~/+-]*", s) is None:
-        return None
-    if "." not in s and re.search(r"[;|~/\s]", s.strip()) and re.fullmatch(r"\s*(?:\d+,\d+\s*(?:[;|~/\s]|$)\s*)+", s):
-        return _NUMBER.findall(s)
-    return re.findall(r"[-+]?\d+(?:\.\d+)?", s)
+def delimited(s: str, leads: Leads) -> Result:
+    parts = re.split(r"[|~;]", s)
+    return ([y for x in parts for y in piece(x, leads, False)], "") if len(parts) > 1 else None
 
 
-def parse(s: str | None, field: str = "", leads: frozenset = frozenset()) -> list[tuple[str, str]]:
-    """Values of one packed string in order, each with its error flag ("" where clean). Null, empty: no values."""
-    if s is None or not s.strip():
+def commas(s: str, leads: Leads) -> Result:
+    return (piece(s, leads, True), "") if "," in s else None
+
+
+def slashed(s: str, leads: Leads) -> Result:
+    return (re.split(r"\s*/\s*", s), "") if _SLASH.search(s) else None
+
+
+def single(s: str, leads: Leads) -> Result:
+    return [_BULLET.sub("", s)], ""
+
+
+FIELD = choice(
+    enclosed("[", "]", ","), enclosed("c(", ")", ","), enclosed("{", "}", ",;"), unless(numbered, enclosed("(", ")", ",", r"(?=\s*(?:[\"'\d.-]|\)))", open_end=False)),
+    decimals, numbers, numbered, lines, tabbed, csv(","), csv(";"), delimited, commas, slashed, single,
+)
+
+
+def contexts(p: str) -> list[str]:
+    """What is looked up of the text after a comma: its first two words, then its first word; lower case."""
+    m = _LEAD.match(p)
+    if m is None:
         return []
-    values, error = None, ""
-    if (b := _bracketed(s)) is not None and not (s.lstrip().startswith("(") and (_numbered(s) or not re.match(r"\s*\(\s*(?:['\"]|[-\d.]|\))", s))):
-        values, error = b
-    elif (v := _numeric(s)) is not None:
-        values = v
-    elif (v := _numbered(s)) is not None:
-        values = v
-    elif "\n" in s or "\r" in s or re.match(r"\s*[-*•·–]\s", s):
-        values = [_BULLET.sub("", x) for x in re.split(r"[\r\n]+", s)]
-    elif "\t" in s.strip():
-        values = s.split("\t")
-    elif (v := _csv(s, ",")) is not None or (v := _csv(s, ";")) is not None:
-        values = v
-    elif re.search(r"[|~;]", s):
-        values = [y for x in re.split(r"[|~;]", s) for y in _split_commas(x, leads, False)]
-    elif "," in s:
-        values = _split_commas(s, leads, True)
-    elif re.search(r"\s/\s|(?<!\d)/|/(?!\d)", s):
-        values = re.split(r"\s*/\s*", s)
-    else:
-        values = [_BULLET.sub("", s)]
-    out = []
-    for v in values:
-        v = v.strip()
-        if v:
-            out.append((v, error))
-    return out
+    one = m[1].lower()
+    return [f"{one} {m[2].lower()}", one] if m[2] else [one]
 
 
-class _Questions:
-    """Takes the place of ``leads`` and notes the words that are looked up."""
+def known(table: dict[str, bool]) -> Leads:
+    """A comma leads to a value as its longest known context says; an unknown one doesn't."""
+    return lambda p: next((table[c] for c in contexts(p) if c in table), False)
 
-    def __init__(self) -> None:
-        self.words: set[str] = set()
 
-    def __contains__(self, word: str) -> bool:
-        self.words.add(word)
-        return False
+def parse(s: str | None, leads: Leads = lambda p: False) -> list[tuple[str, str]]:
+    """Values of one packed string in order, each with its error flag ("" where clean). Null, empty: no values."""
+    if s is None or not s.strip():
+        return []
+    values, error = FIELD(s, leads)
+    return [(v, error) for v in map(str.strip, values) if v]
 
 
-def questions(s: str | None, field: str = "") -> set[str]:
-    """The words of which ``parse`` must know whether they are leads; no answer changes what else it asks."""
+def questions(s: str | None) -> set[str]:
+    """The contexts that ``parse`` looks up; no answer changes what else it asks."""
     if s is None or "," not in s or (s.startswith("[") and s.endswith("]")):  # a closed list asks nothing
         return set()
-    q = _Questions()
-    parse(s, field, q)
-    return q.words
+    asked: set[str] = set()
+    parse(s, lambda p: bool(asked.update(contexts(p))))
+    return asked
 
 
 def lead_words(df: DataFrame, fields: list[str]) -> DataFrame:
-    """(field, word): the words that start values in rows whose lists are quoted, each once; all of them, over all rows."""
-    pattern = r"""(?:^\s*\[|,\s?)["']([^\s"',;]+)"""
-    words = F.array(*[F.struct(F.lit(f).alias("field"), F.regexp_extract_all(F.col(f), F.lit(pattern), 1).alias("w")) for f in fields])
-    each = df.where(" or ".join(f"`{f}` like '[%'" for f in fields)).select(F.explode(words).alias("x")).select("x.field", F.explode("x.w").alias("word"))
-    return each.select("field", F.lower("word").alias("word")).distinct()
+    """(field, context, leads): the first one and two words of values in quoted lists and of what follows a comma inside
+    such a value; ``leads`` if they start more values than they continue. Over all rows, nothing is left out."""
+    two = r"""([^\s"',;]+(?:\s+[^\s"',;]+)?)"""
+    kinds = ((1, r"""(?:^\s*\[|,\s?)["']""" + two), (-1, r"""[^\s"'\[],\s+""" + two))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(sign).alias("sign"), F.regexp_extract_all(F.col(f), F.lit(pattern), F.lit(1)).alias("w")) for f in fields for sign, pattern in kinds])
+    found = df.where(" or ".join(f"`{f}` like '[%'" for f in fields)).select(F.explode(each).alias("x")).select("x.field", "x.sign", F.explode("x.w").alias("w"))
+    counted = found.groupBy("field", "w").agg(F.sum("sign").alias("n")).withColumn("w", F.split(F.lower("w"), r"\s+"))
+    both = F.array_distinct(F.array(F.get("w", F.lit(0)), F.array_join("w", " ")))
+    return counted.select("field", "n", F.explode(both).alias("context")).groupBy("field", "context").agg((F.sum("n") > 0).alias("leads"))
 
 
 def explode_packed(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -240,8 +278,8 @@ def explode_packed(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
     Repeats of a key are one record (its least written form counts, nulls aside); a null key is kept as one record.
     Null and empty cells give no rows. Columns other than key and fields are ignored, whatever they are called.
-    A record is parsed with those of the lead words that its ambiguous commas ask for, found by a join: nothing is bounded
-    by the number of words."""
+    A record is parsed with those contexts that its ambiguous commas ask for, found by a join: nothing is bounded by the
+    number of words."""
     used = df.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_f{i}") for i, f in enumerate(fields)])
     named = used.select(*[F.col(f"_f{i}").alias(f) for i, f in enumerate(fields)])
     one = used.groupBy("_key").agg(*[F.min(f"_f{i}").alias(f"_f{i}") for i in range(len(fields))])
@@ -249,25 +287,25 @@ def explode_packed(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, f, w) for i, f in enumerate(fields) for k, s in zip(b["_key"], b[f"_f{i}"]) for w in sorted(questions(s, f))]
+            rows = [(k, f, w) for i, f in enumerate(fields) for k, s in zip(b["_key"], b[f"_f{i}"]) for w in sorted(questions(s))]
             if rows:
-                yield pd.DataFrame(dict(zip(("_key", "field", "word"), map(list, zip(*rows)))))
+                yield pd.DataFrame(dict(zip(("_key", "field", "context"), map(list, zip(*rows)))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
             for i, f in enumerate(fields):
-                for k, s, known in zip(b["_key"], b[f"_f{i}"], b["_leads"]):
-                    leads = frozenset() if known is None else frozenset(x["word"] for x in known if x["field"] == f)
-                    for pos, (v, e) in enumerate(parse(s, f, leads), 1):
+                for k, s, told in zip(b["_key"], b[f"_f{i}"], b["_leads"]):
+                    leads = known({} if told is None else {x["context"]: x["leads"] for x in told if x["field"] == f})
+                    for pos, (v, e) in enumerate(parse(s, leads), 1):
                         for c, x in zip(cols, (k, f, pos, v, e)):
                             c.append(x)
             yield pd.DataFrame(dict(zip(("_key", "field", "pos", "value", "error"), cols)))
 
-    asked = materialize(one.mapInPandas(ask, f"_key {kind}, field string, word string"), "asked")
-    known = asked.groupBy("field", "word").agg(F.count(F.lit(1)).alias("n")).join(lead_words(named, fields), ["field", "word"], "left_semi")
-    known = materialize(known.select(F.struct("field", "word").alias("lead"), "n"), "leads")
-    answers = join_hot(asked.select("_key", F.struct("field", "word").alias("lead")), known, "lead", "n")
-    answers = answers.groupBy(F.col("_key").alias("_k")).agg(F.collect_list("lead").alias("_leads"))
+    asked = materialize(one.mapInPandas(ask, f"_key {kind}, field string, context string"), "asked")
+    wanted = asked.groupBy("field", "context").agg(F.count(F.lit(1)).alias("n")).join(lead_words(named, fields), ["field", "context"])
+    wanted = materialize(wanted.select(F.struct("field", "context").alias("at"), "leads", "n"), "leads")
+    answers = join_hot(asked.select("_key", F.struct("field", "context").alias("at")), wanted, "at", "n")
+    answers = answers.groupBy(F.col("_key").alias("_k")).agg(F.collect_list(F.struct("at.field", "at.context", "leads")).alias("_leads"))
     told = one.join(answers, F.col("_key").eqNullSafe(F.col("_k")), "left").drop("_k")
     return told.mapInPandas(run, f"_key {kind}, {OUT}").withColumnRenamed("_key", key)

@@ -3,9 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from recipeframe.operators.packed import explode_packed, parse
+from recipeframe.operators.packed import explode_packed, known, parse
 
-LEADS = frozenset("spring fermented autumn add beat use season don't stir mix breads fish eggs vegan mild".split())
+LEADS = known({w: True for w in "spring fermented autumn add beat use season don't stir mix breads fish eggs vegan mild brown".split()} | {"brown rice": False})
 
 
 @pytest.mark.parametrize(
@@ -20,6 +20,9 @@ LEADS = frozenset("spring fermented autumn add beat use season don't stir mix br
         ('"""secret"" family";beans', ['"secret" family', "beans"]),
         ("spring, fermented|vegan,autumn;mild", ["spring", "fermented", "vegan", "autumn", "mild"]),
         ("breads, quick;vegan", ["breads, quick", "vegan"]),
+        ("layer mint, brown rice and eggs; beat, brown the rice", ["layer mint, brown rice and eggs", "beat", "brown the rice"]),
+        ("[['a, b'], 'c']", ["'a, b'", "c"]),
+        ("[[a b], 'c']", ["a b", "c"]),
         ("a ~ b~c", ["a", "b", "c"]),
         ("1) a b 2) c, d 3) e; f", ["a b", "c, d", "e; f"]),
         ("(1) x (2) y", ["x", "y"]),
@@ -46,7 +49,12 @@ LEADS = frozenset("spring fermented autumn add beat use season don't stir mix br
     ],
 )
 def test_values(text, values):
-    assert parse(text, "", LEADS) == [(v, "") for v in values]
+    assert parse(text, LEADS) == [(v, "") for v in values]
+
+
+def test_many_malformed_quotes_take_linear_time():
+    values = parse("[" + ", ".join(f"'v{i}" for i in range(200_000)) + "]")
+    assert len(values) == 200_000 and values[7] == ("v7", "bad_quote")
 
 
 def test_malformed_quotes_are_flagged():
@@ -75,6 +83,12 @@ def test_explode(spark):
     assert explode_packed(df.where("false"), "id", ["tags"]).count() == 0
 
 
+def test_words_that_start_and_continue_values(spark):
+    rows = [(1, "['brown the rice', 'layer mint, brown rice and eggs', 'layer eggs, brown rice and mint', 'layer, brown rice']"), (2, "layer x, brown rice and y; chop, brown the eggs")]
+    got = explode_packed(spark.createDataFrame(rows, "id bigint, steps string"), "id", ["steps"]).where("id = 2").orderBy("pos")
+    assert [r["value"] for r in got.collect()] == ["layer x, brown rice and y", "chop", "brown the eggs"]
+
+
 def test_rare_lead_words_separate(spark):
     rows = [(i, "[" + ", ".join(f"'w{j} x'" for j in range(i % 2, 4500, 2)) + "]") for i in range(4)]
     rows += [(4, "['rare thing', 'w1 y']"), (5, "mild, rare thing|w1 z, other"), (None, "w7, rare"), (6, "a, rare b; c"), (7, None), (8, "['open, rare; w2")]
