@@ -75,7 +75,7 @@ def _patterns(seps: str) -> tuple[re.Pattern, re.Pattern, re.Pattern, re.Pattern
     """item's alternatives in order as one terminal (quoted / bracketed / bare), mended, its end, bare text."""
     sep = f"[{seps}]"
     good = (
-        rf"""\s*(?:"(?P<dq>(?:[^"\\]|\\.|"")*)"(?=\s*(?:{sep}|\Z))|'(?P<sq>(?:[^'\\]|\\.|'')*)'(?=\s*(?:{sep}|\Z))"""
+        rf"""\s*+(?:"(?P<dq>(?:[^"\\]|\\.|"")*)"(?=\s*(?:{sep}|\Z))|'(?P<sq>(?:[^'\\]|\\.|'')*)'(?=\s*(?:{sep}|\Z))"""
         rf"""|\[(?P<br>[^\[\]]*)\](?=\s*(?:{sep}|\Z))|(?P<bare>(?!["'])[^{seps}]*))\s*(?:{sep}|\Z)"""
     )
     return re.compile(good, re.S), re.compile(rf"\s*(?P<q>[\"'])(.*?)(?P=q)(?:{sep}|\Z)", re.S), re.compile(rf"[\"'](?={sep}|\Z)"), re.compile(rf"\s*([^{seps}]*)(?:{sep}|\Z)")
