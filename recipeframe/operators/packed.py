@@ -262,12 +262,14 @@ def questions(s: str | None) -> set[str]:
 
 
 def lead_words(df: DataFrame, fields: list[str]) -> DataFrame:
-    """(field, context, leads): the first one and two words of values in quoted lists and of what follows a comma inside
+    """(field, context, leads): the first one and two words of values in closed quoted lists and of what follows a comma inside
     such a value; ``leads`` if they start more values than they continue. Over all rows, nothing is left out."""
     two = r"""([^\s"',;]+(?:\s+[^\s"',;]+)?)"""
     kinds = ((1, r"""(?:^\s*\[|,\s?)["']""" + two), (-1, r"""[^\s"'\[],\s+""" + two))
     each = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(sign).alias("sign"), F.regexp_extract_all(F.col(f), F.lit(pattern), F.lit(1)).alias("w")) for f in fields for sign, pattern in kinds])
-    found = df.where(" or ".join(f"`{f}` like '[%'" for f in fields)).select(F.explode(each).alias("x")).select("x.field", "x.sign", F.explode("x.w").alias("w"))
+    each = F.filter(each, lambda x: F.size(x["w"]) > 0)
+    closed = df.select(*[F.when(F.trim(f).like("[%]"), F.col(f)).alias(f) for f in fields])
+    found = closed.where(" or ".join(f"`{f}` is not null" for f in fields)).select(F.explode(each).alias("x")).select("x.field", "x.sign", F.explode("x.w").alias("w"))
     counted = found.groupBy("field", "w").agg(F.sum("sign").alias("n")).withColumn("w", F.split(F.lower("w"), r"\s+"))
     both = F.array_distinct(F.array(F.get("w", F.lit(0)), F.array_join("w", " ")))
     return counted.select("field", "n", F.explode(both).alias("context")).groupBy("field", "context").agg((F.sum("n") > 0).alias("leads"))
