@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +59,37 @@ def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._recipeframe_path = path
+    for tables in _open[-1:]:
+        tables.append(out)
     return out
 
 
+_open: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end what ``materialize`` wrote inside, but for the tables given to ``keep``, the function it yields:
+    those must be results of ``materialize`` and are handed to the scratch outside, if there is one."""
+    tables: list[DataFrame] = []
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    _open.append(tables)
+    try:
+        yield keep
+    finally:
+        _open.pop()
+        for t in tables:
+            if not any(t is k for k in kept):
+                release(t)
+        for outer in _open[-1:]:
+            outer.extend(kept)
+
+
 def release(df: DataFrame) -> None:
     """Delete a table written by ``materialize`` that nothing reads any more."""
     path = getattr(df, "_recipeframe_path", None)
@@ -77,14 +107,19 @@ def bounded_collect(df: DataFrame, limit: int, what: str) -> list:
     return rows
 
 
-def join_hot(facts: DataFrame, dims: DataFrame, key: str, n: str, hot_share: float = 1e-3) -> DataFrame:
+HOT_SHARE, HOT_ROWS = 1e-3, 10_000
+
+
+def join_hot(facts: DataFrame, dims: DataFrame, key: str, n: str) -> DataFrame:
     """``facts`` inner join ``dims`` (one row per key, ``n`` = rows of that key in facts), whatever the skew.
 
-    Keys that hold more than ``hot_share`` of all rows are at most 1 / hot_share in number, so their rows of ``dims``
-    are broadcast with that proven bound and their facts never move; the rest takes an ordinary shuffle join."""
-    total = dims.agg(F.sum(n).alias("t")).first()["t"] or 0
-    hot = dims.where(F.col(n) > max(1.0, total * hot_share))
-    cold = dims.where(F.col(n) <= max(1.0, total * hot_share))
+    Keys that hold more than HOT_SHARE of all rows (and more than HOT_ROWS) are at most 1 / HOT_SHARE in number, so their
+    rows of ``dims`` are broadcast with that proven bound and their facts never move; the rest takes an ordinary join."""
+    seen = dims.agg(F.sum(n).alias("t"), F.max(n).alias("m")).first()
+    limit = max(HOT_ROWS, (seen["t"] or 0) * HOT_SHARE)
+    if (seen["m"] or 0) <= limit:
+        return facts.join(dims, key)
+    hot, cold = dims.where(F.col(n) > limit), dims.where(F.col(n) <= limit)
     left = facts.join(F.broadcast(hot), key)
     right = facts.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return left.unionByName(right)
