@@ -42,8 +42,7 @@ def _p1_state(spark: SparkSession, d: str) -> splits.SplitState:
 
 def p1_splits(spark: SparkSession, d: str) -> DataFrame:
     records, ties = _p1_ties(spark, d)
-    state = splits.update(None, records, ties, table(spark, d, "split_targets"))
-    return state.members.join(state.groups.select("group_id", "split"), "group_id").select("id", "group_id", "split")
+    return splits.assigned(splits.update(None, records, ties, table(spark, d, "split_targets")))
 
 
 def p1_shares(spark: SparkSession, d: str) -> DataFrame:
@@ -57,6 +56,17 @@ def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
     return state.groups.groupBy("split", "status").agg(F.count(F.lit(1)).alias("n_groups"), F.sum("n_records").alias("n_records"))
 
 
+def p1_merged(spark: SparkSession, d: str) -> DataFrame:
+    """The groups of p1_found out of the state that two deliveries have built, the second repeating the records of the first
+    without their ties."""
+    records, ties = _p1_ties(spark, d)
+    targets = table(spark, d, "split_targets")
+    odd = "pmod(xxhash64(id), 2) = 1"
+    first = splits.update(None, records.where(odd), ties.where(odd), targets)
+    second = splits.update(first, records, ties.where(f"not {odd}"), targets)
+    return splits.related(second.members)
+
+
 P1_SQL = r"""
 with recursive ties as (
   select distinct id, 'c' || contributor_id as k from raw_recipes_mini where contributor_id <> 0
@@ -236,4 +246,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p2_found": P2_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}
+    return {"p1_found": P1_SQL, "p1_merged": P1_SQL, "p2_found": P2_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recipeframe.llm.components import components
-from recipeframe.runtime import bounded_collect, join_hot, materialize, prefix_sum
+from recipeframe.llm.components import components, rooted
+from recipeframe.runtime import bounded_collect, join_hot, materialize, prefix_sum, scratch
 
 QUARANTINE = "quarantine"
 LARGE = 1000
@@ -56,40 +56,32 @@ def regroup(state: SplitState | None, records: DataFrame, ties: DataFrame) -> tu
     """members, keys and moved (old group -> new group) after a batch of records (id) with ties (id, key).
 
     Null ids and null keys are ignored; repeats change nothing; ties of ids that are in no batch so far are ignored."""
-    spark = records.sparkSession
-    known = state or empty_state(spark)
-    ids = records.select("id").where("id is not null").distinct()
-    old = known.members
-    node = ids.join(old, "id", "left").select("id", F.coalesce("group_id", "id").alias("node"), F.col("group_id").isNotNull().alias("known")) if state else ids.select("id", F.col("id").alias("node"), F.lit(False).alias("known"))
-    held = materialize(ties.where("id is not null and key is not null").select("id", "key").distinct().join(node, "id"), "held")
-    hubs = held.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
-    if state:
+    known = state or empty_state(records.sparkSession)
+    with scratch() as keep:
+        ids = records.select("id").where("id is not null").distinct()
+        old = known.members
+        node = ids.join(old, "id", "left").select("id", F.coalesce("group_id", "id").alias("node"), F.col("group_id").isNotNull().alias("known"))
+        held = materialize(ties.where("id is not null and key is not null").select("id", "key").distinct().join(node, "id"), "held")
+        hubs = held.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
         hubs = hubs.join(known.keys.withColumnRenamed("group_id", "_g"), "key", "left").select("key", F.least("hub", F.coalesce("_g", "hub")).alias("hub"), "n", "_g")
-    else:
-        hubs = hubs.withColumn("_g", F.lit(None).cast("bigint"))
-    hubs = materialize(hubs, "hubs")
-    at = materialize(join_hot(held.select("id", "key", "node", "known"), hubs.select("key", "hub", "n"), "key", "n"), "at")
-    low = at.groupBy("id").agg(F.min("hub").alias("low"), F.max(F.when(F.col("known"), F.col("node"))).alias("own")).select("id", F.least("low", F.coalesce("own", "low")).alias("low"), "own")
-    low = materialize(low, "low")
-    # ids of one or more keys tie their hubs to one another; the ids themselves are leaves and need no node
-    edges = at.join(low, "id").select(F.col("hub").alias("a"), F.col("low").alias("b")).unionByName(low.where("own is not null").select(F.col("own").alias("a"), F.col("low").alias("b")))
-    edges = edges.unionByName(hubs.where("_g is not null").select(F.col("_g").alias("a"), F.col("hub").alias("b")))
-    comp = components(edges.where("a <> b").distinct())
-    root = comp.select(F.col("node").alias("low"), "root")
-    new_ids = low.join(root, "low", "left").select("id", F.coalesce("root", "low").alias("group_id"))
-    loose = node.join(low.select("id"), "id", "left_anti").select("id", F.col("node").alias("group_id"))
-    to = comp.withColumnRenamed("node", "group_id")
-    kept = old.join(ids, "id", "left_anti").join(to, "group_id", "left").select("id", F.coalesce("root", "group_id").alias("group_id"))
-    members = new_ids.unionByName(loose)
-    if state:
-        members = members.unionByName(kept)
-    hub_root = comp.select(F.col("node").alias("hub"), "root")
-    keys = hubs.join(hub_root, "hub", "left").select("key", F.coalesce("root", "hub").alias("group_id"))
-    if state:
-        rest = known.keys.join(hubs.select("key"), "key", "left_anti").join(to, "group_id", "left").select("key", F.coalesce("root", "group_id").alias("group_id"))
-        keys = keys.unionByName(rest)
-    moved = known.groups.select(F.col("group_id").alias("old")).join(comp.select(F.col("node").alias("old"), "root"), "old", "left").select("old", F.coalesce("root", "old").alias("group_id"))
-    return materialize(members, "members"), materialize(keys, "keys"), moved
+        hubs = materialize(hubs, "hubs")
+        at = materialize(join_hot(held.select("id", "key", "node", "known"), hubs.select("key", "hub", "n"), "key", "n"), "at")
+        low = at.groupBy("id").agg(F.min("hub").alias("low"), F.max(F.when(F.col("known"), F.col("node"))).alias("own")).select("id", F.least("low", F.coalesce("own", "low")).alias("low"), "own")
+        low = materialize(low, "low")
+        # ids of one or more keys tie their hubs to one another; the ids themselves are leaves and need no node
+        edges = at.join(low, "id").select(F.col("hub").alias("a"), F.col("low").alias("b")).unionByName(low.where("own is not null").select(F.col("own").alias("a"), F.col("low").alias("b")))
+        edges = edges.unionByName(hubs.where("_g is not null").select(F.col("_g").alias("a"), F.col("hub").alias("b")))
+        comp = components(edges.where("a <> b").distinct())
+        members = rooted(low, "low", comp, "group_id").select("id", "group_id")
+        members = members.unionByName(node.where("not known").join(low, "id", "left_anti").select("id", F.col("node").alias("group_id")))
+        keys = rooted(hubs.select("key", "hub"), "hub", comp, "group_id").select("key", "group_id")
+        moved = known.groups.select(F.col("group_id").alias("old")).join(comp.select(F.col("node").alias("old"), "root"), "old", "left").select("old", F.coalesce("root", "old").alias("group_id"))
+        if state:  # what has no ties in this batch, delivered again or not, goes where its group goes
+            rest = rooted(old.join(low, "id", "left_anti").withColumnRenamed("group_id", "old"), "old", comp, "group_id")
+            members = members.unionByName(rest.select("id", "group_id"))
+            rest = rooted(known.keys.join(hubs, "key", "left_anti").withColumnRenamed("group_id", "old"), "old", comp, "group_id")
+            keys = keys.unionByName(rest.select("key", "group_id"))
+        return keep(materialize(members, "members")), keep(materialize(keys, "keys")), keep(materialize(moved, "moved"))
 
 
 def fill_deficits(groups: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
@@ -141,8 +133,14 @@ def update(state: SplitState | None, records: DataFrame, ties: DataFrame, target
         F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("lo").isNotNull(), F.lit(QUARANTINE)).alias("split"),
         F.when(F.col("lo").isNull(), "new").when(F.col("lo") != F.col("hi"), "quarantined").when(F.col("parts") > 1, "merged").otherwise("kept").alias("status"),
     )
-    groups = materialize(groups, "groups")
-    return SplitState(members, keys, materialize(fill_deficits(groups, targets, seed).select("group_id", "split", "n_records", "status"), "groups"))
+    with scratch() as keep:
+        filled = fill_deficits(materialize(groups, "sizes"), targets, seed).select("group_id", "split", "n_records", "status")
+        return SplitState(members, keys, keep(materialize(filled, "groups")))
+
+
+def assigned(state: SplitState) -> DataFrame:
+    """(id, group_id, split) of every record."""
+    return join_hot(state.members, state.groups.select("group_id", "split", "n_records"), "group_id", "n_records").select("id", "group_id", "split")
 
 
 def related(members: DataFrame) -> DataFrame:

@@ -86,6 +86,39 @@ def test_incremental_equals_whole_and_keeps_splits(spark):
             assert len(olds) > 1 and split == splits.QUARANTINE
 
 
+def test_redelivered_records_follow_their_group(spark):
+    """Batches that repeat records with, without and with other ties; after each the groups are those of union-find."""
+    targets = spark.createDataFrame(TARGETS, "split_name string, target_share double")
+    rec = lambda x: spark.createDataFrame([(i,) for i in x], "id bigint")
+    tie = lambda x: spark.createDataFrame(list(x), "id bigint, key string")
+    fixed = [([1, 2, 5, 10], [(1, "a"), (2, "a"), (5, "b"), (10, "b")]), ([10, 20, 1], [(20, "a"), (20, "b")])]
+    for seed in (None, 5, 6):
+        rnd = random.Random(seed)
+        batches = fixed if seed is None else [(b := rnd.sample(range(60), 25), [(i, f"k{rnd.randrange(30)}") for i in b if rnd.random() < 0.5]) for _ in range(4)]
+        state, seen, all_ties, where = None, set(), [], {}
+        for ids, ties in batches:
+            state = splits.update(state, rec(ids), tie(ties), targets)
+            seen |= set(ids)
+            all_ties += ties
+            got = {r["id"]: r["group_id"] for r in state.members.collect()}
+            assert got == groups_of(sorted(seen), all_ties)
+            of = {r["group_id"]: (r["split"], r["n_records"]) for r in state.groups.collect()}
+            assert {g: n for g, (_, n) in of.items()} == {g: list(got.values()).count(g) for g in set(got.values())}
+            now = {r["id"]: r["split"] for r in splits.assigned(state).collect()}
+            assert all(now[i] in (s, splits.QUARANTINE) for i, s in where.items())
+            where = now
+
+
+def test_hubs_are_treated_apart(spark, monkeypatch):
+    from recipeframe import runtime
+
+    monkeypatch.setattr(runtime, "HOT_ROWS", 3)
+    ids, ties = world(spark, 600, 8)
+    ties += [(i, "hot") for i in ids if i % 3 == 0]
+    s = splits.update(None, spark.createDataFrame([(i,) for i in ids], "id bigint"), spark.createDataFrame(ties, "id bigint, key string"), spark.createDataFrame(TARGETS, "split_name string, target_share double"))
+    assert {r["id"]: r["group_id"] for r in splits.assigned(s).collect()} == groups_of(ids, ties)
+
+
 def test_save_and_load(spark, tmp_path):
     targets = spark.createDataFrame(TARGETS, "split_name string, target_share double")
     s = splits.update(None, spark.createDataFrame([(1,), (2,)], "id bigint"), spark.createDataFrame([(1, "k"), (2, "k")], "id bigint, key string"), targets)
