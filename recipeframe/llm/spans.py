@@ -5,13 +5,15 @@
    equal stretches have equal anchors. A key is the exact text from an anchor to the first anchor at least ``D`` further:
    two texts with a common stretch of ``least`` characters have a common key in it, as least >= D + 3 W + K.
 3. Keys that only one document has are dropped by an aggregation over hashes; so are keys whose every occurrence follows
-   one and the same key that has as many occurrences (they say nothing new). What is left marks windows of text: from the
-   first common anchor of a stretch to its end.
-4. Windows go to shards by key. A shard's task builds an FM-index over its windows (fmindex.py) and streams the windows
-   through it: matching statistics by backward search over the wavelet matrix give each window's intervals of at least
-   ``least`` characters that another document has, and the sets of documents that share a stretch.
-   Keys in more than ``HOT`` windows never go to one task: there each window's ``least``-grams are spread by hash over
-   all tasks and joined there, which gives the same stretches and the same sets of documents.
+   one and the same key that has as many occurrences (they say nothing new), but for one in ``RUN`` of them by hash. What is
+   left marks windows of text: from a kept key over the run of dropped ones after it. A run has ``RUN`` keys on average
+   and is cut at the same keys in all documents, so a window is short however long the stretch.
+4. Windows go to shards by key, the keys along a running sum of characters. A shard's task builds an FM-index over its
+   windows (fmindex.py) and streams the windows through it: matching statistics by backward search over the wavelet
+   matrix give each window's intervals of at least ``least`` characters that another document has, and the sets of
+   documents that share a stretch. Keys whose windows have more than ``HOT_CHARS`` characters never go to one task: there
+   each window's ``least``-grams are spread by hash over all tasks and joined there, which gives the same stretches and
+   the same sets of documents.
 5. All pairs are written out within such a set, and between all copies of both sides, large sets block by block.
 
 Characters are compared as stored. Null texts and texts shorter than ``least`` share nothing.
@@ -19,6 +21,7 @@ Characters are compared as stored. Null texts and texts shorter than ``least`` s
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -28,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recipeframe.llm.fmindex import FMIndex
-from recipeframe.runtime import join_hot, materialize, member_pairs
+from recipeframe.runtime import join_hot, materialize, member_pairs, prefix_sum, scratch
 
-K, W, SHARD_CHARS, HOT = 12, 48, 1_500_000, 2000
-CHUNK = 400_000
+K, W, RUN = 12, 48, 32
+SHARD_CHARS, HOT_CHARS, LISTED = 500_000, 1_000_000, 64
+CHUNK, BUCKETS = 400_000, 1024
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -126,14 +130,16 @@ def shared_keys(keys: DataFrame) -> DataFrame:
     g = materialize(g.where("lo < hi").select("key", "n", "b0", "b1"), "shared")
     follows = g.where("b0 = b1 and b0 <> 0").select("key", F.col("b0").alias("before"), "n")
     idle = follows.join(g.select(F.col("key").alias("before"), "n"), ["before", "n"], "left_semi").select("key")
-    return materialize(g.select("key", "n").join(idle.withColumn("idle", F.lit(True)), "key", "left").select("key", "n", F.col("idle").isNull().alias("keep")), "kept")
+    keep = F.col("idle").isNull() | (F.pmod(F.xxhash64("key"), F.lit(RUN)) == 0)
+    return materialize(g.select("key", "n").join(idle.withColumn("idle", F.lit(True)), "key", "left").select("key", "n", keep.alias("keep")), "kept")
 
 
 def windows(docs: DataFrame, keys: DataFrame, shared: DataFrame, least: int, margin: int = W) -> DataFrame:
     """(key, doc_id, start, text): the text around each kept key, to the end of the run of keys that follow idly.
 
-    A stretch begins less than W before its first key and ends less than 2 W after its last run, so margin W finds all
-    pairs; with margin ``least`` each ``least`` characters of a stretch also lie in one window, so all of it is found."""
+    Every ``least`` characters of a common stretch lie in the window of the first key in them: that begins less than W
+    after them, and the window reaches ``least`` beyond the start of its last key; so margin W finds all pairs. With
+    margin ``least`` a window also holds what precedes it. A key that repeats within its own window extends it."""
     occ = join_hot(keys.select("key", "doc_id", "pos", "len"), shared, "key", "n")
     per_doc = occ.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "len", "keep", "key"))).alias("occ"))
     both = docs.select("doc_id", "text").join(per_doc, "doc_id")
@@ -144,14 +150,15 @@ def windows(docs: DataFrame, keys: DataFrame, shared: DataFrame, least: int, mar
             for doc, text, occ in zip(b["doc_id"], b["text"], b["occ"]):
                 current = None
                 for o in occ:
-                    if o["keep"]:
-                        current = [o["key"], o["pos"], o["pos"] + o["len"]]
+                    again = current and (not o["keep"] or (o["key"] == current[0] and o["pos"] <= current[2] and o["pos"] < current[1] + 16 * least))
+                    if again:
+                        current[2], current[3] = max(current[2], o["pos"] + o["len"]), o["pos"]
+                    elif o["keep"]:
+                        current = [o["key"], o["pos"], o["pos"] + o["len"], o["pos"]]
                         rows.append((doc, text, current))
-                    elif current:
-                        current[2] = max(current[2], o["pos"] + o["len"])
             out = []
-            for doc, text, (key, pos, end) in rows:
-                s, e = max(0, pos - margin), min(len(text), max(end + 2 * W, pos + least))
+            for doc, text, (key, pos, end, last) in rows:
+                s, e = max(0, pos - margin), min(len(text), max(end + 2 * W, last + least))
                 out.append((key, doc, s, text[s:e]))
             yield pd.DataFrame(out, columns=["key", "doc_id", "start", "text"])
 
@@ -159,18 +166,24 @@ def windows(docs: DataFrame, keys: DataFrame, shared: DataFrame, least: int, mar
 
 
 def shard_matches(pdf: pd.DataFrame, least: int) -> pd.DataFrame:
-    """Rows of kind 0: pairs (a, b); of kind 1: stretches (a = document, start, end)."""
+    """Rows of kind 0: pairs (a, b); of kind 1: stretches (a = document, start, end); of kind 2: sets of more than LISTED
+    documents that share a stretch (a, start, end = the set, b = document)."""
     texts = [_points(t).astype(np.int64) for t in pdf["text"]]
     docs, offset = pdf["doc_id"].to_numpy(np.int64), pdf["start"].to_numpy(np.int64)
     if len(np.unique(docs)) < 2:
         return _rows([], np.zeros((0, 3), np.int64))
     index = FMIndex(texts, docs)
     w, p, n, row = index.matching(least)
-    found = set()
+    found, large = set(), []
     if len(w):
         for group in index.owners_of(row, least):
-            found.update(combinations(group.tolist(), 2))
-    return _rows(sorted(found), _intervals(docs[w], p + offset[w], p + n + offset[w]))
+            if len(group) <= LISTED:
+                found.update(combinations(group.tolist(), 2))
+            else:
+                name = np.frombuffer(hashlib.blake2b(group.tobytes(), digest_size=16).digest(), np.int64)
+                low, high = name[1:].view(np.int32)
+                large.append(pd.DataFrame({"kind": np.int32(2), "a": name[0], "b": group, "start": low, "end": high}))
+    return pd.concat([_rows(sorted(found), _intervals(docs[w], p + offset[w], p + n + offset[w])), *large])
 
 
 def _intervals(doc: np.ndarray, a: np.ndarray, z: np.ndarray) -> np.ndarray:
@@ -254,29 +267,39 @@ def shared(docs: DataFrame, least: int, whole: bool = True) -> tuple[DataFrame,
 
     docs: (doc_id, text), other columns are ignored. Null ids and texts are dropped, a repeated row counts once, an empty
     table gives empty results."""
-    reps, members = copies(docs)
-    keys = materialize(key_table(reps, least), "keys")
-    common = shared_keys(keys)
-    win = materialize(windows(reps, keys, common, least, least if whole else W), "windows")
-    per_key = materialize(win.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")), "perkey")
-    hot = per_key.where(F.col("n") > HOT).select("key")
-    chars = per_key.where(F.col("n") <= HOT).agg(F.sum("chars").alias("c")).first()["c"] or 0
-    shards = int(1 + chars // SHARD_CHARS)
-
-    def task(pdf: pd.DataFrame) -> pd.DataFrame:
-        return shard_matches(pdf, least)
-
-    calm = win.join(hot, "key", "left_anti").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    spread = calm.select("shard", "doc_id", "start", "text").repartition(shards, "shard")  # by count: shards are few and small, but slow
-    out = spread.groupBy("shard").applyInPandas(task, SHARED)
-    if not hot.isEmpty():
-        out = out.unionByName(hot_matches(win.join(hot, "key", "left_semi"), least))
-    return materialize(out, "matches"), members
+    with scratch() as keep:
+        reps, members = copies(docs)
+        keys = materialize(key_table(reps, least), "keys")
+        common = shared_keys(keys)
+        win = materialize(windows(reps, keys, common, least, least if whole else W), "windows")
+        per_key = materialize(win.groupBy("key").agg(F.sum(F.length("text")).alias("chars")), "perkey")
+        hot, calm = per_key.where(F.col("chars") > HOT_CHARS), per_key.where(F.col("chars") <= HOT_CHARS)
+        chars = calm.agg(F.sum("chars").alias("c")).first()["c"] or 0
+        size = min(SHARD_CHARS, max(SHARD_CHARS // 10, chars // docs.sparkSession.sparkContext.defaultParallelism))
+        shards = int(1 + chars // size)
+        order = calm.withColumn("_b", F.pmod(F.xxhash64("key"), F.lit(BUCKETS))).withColumn("_g", F.lit(0))
+        place = prefix_sum(order, ["_g"], ["key"], "_b", "chars", "before").select("key", F.floor(F.col("before") / size).cast("int").alias("shard"))
+
+        def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            parts = [b for b in batches if len(b)]  # one shard: at most size + HOT_CHARS characters
+            if parts:
+                yield shard_matches(pd.concat(parts, ignore_index=True), least)
+
+        spread = win.join(place, "key").select("shard", "doc_id", "start", "text").repartitionById(shards, "shard")
+        out = spread.mapInPandas(task, SHARED)
+        if not hot.isEmpty():
+            out = out.unionByName(hot_matches(win.join(hot, "key", "left_semi"), least))
+        return keep(materialize(out, "matches")), keep(members)
 
 
 def pairs(matches: DataFrame, members: DataFrame, lengths: DataFrame, least: int) -> DataFrame:
     """(doc_id_a, doc_id_b) with all copies written out; lengths: (doc_id, n) of the texts."""
-    links = matches.where("kind = 0").select("a", "b").distinct()
+    large = materialize(matches.where("kind = 2").select(F.struct("a", "start", "end").alias("group"), F.col("b").alias("item")).distinct(), "large")
+    links = matches.where("kind = 0").select("a", "b")
+    if not large.isEmpty():
+        within = large.select(F.col("group").alias("a"), F.col("group").alias("b")).distinct()
+        links = links.unionByName(member_pairs(within, large).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    links = materialize(links.distinct(), "links")
     copied = members.select(F.col("rep").alias("group"), F.col("doc_id").alias("item"))
     mark = members.select("rep").distinct()
     alone = links.join(mark.withColumnRenamed("rep", "a"), "a", "left_anti").join(mark.withColumnRenamed("rep", "b"), "b", "left_anti")

@@ -120,28 +120,26 @@ def covered(docs, d, least):
     return sum(mark)
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 2000), (2, 2000), (3, 2)])
-def test_shared_spans(spark, monkeypatch, seed, hot):
-    monkeypatch.setattr(spans, "HOT", hot)
+@pytest.mark.parametrize("seed,hot,run", [(1, 10**6, 32), (2, 10**6, 2), (3, 800, 32)])
+def test_shared_spans(spark, monkeypatch, seed, hot, run):
+    monkeypatch.setattr(spans, "HOT_CHARS", hot)
+    monkeypatch.setattr(spans, "RUN", run)
     docs = corpus(seed)
     rows = [*docs.items(), (900, None), (901, ""), (None, docs[1]), (3, docs[3])]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("key", F.lit(1)).withColumn("pos", F.lit(1))
     matches, members = spans.shared(df, 300)
     got = [tuple(r) for r in spans.pairs(matches, members, df.select("doc_id", F.length("text").alias("n")), 300).collect()]
     want = shared_pairs(docs, 300)
-    assert len(got) == len(set(got))
-    if hot == 2000:
-        assert set(got) == want
-    else:  # linked to the least document of each stretch: the same components
-        assert set(got) <= want and {x for p in got for x in p} == {x for p in want for x in p}
+    assert len(got) == len(set(got)) and set(got) == want
     for r in spans.portions(df, matches, members, 300).collect():
         if r["doc_id"] < 900:
             assert r["shared_chars"] == covered(docs, r["doc_id"], 300), r
 
 
-@pytest.mark.parametrize("seed,whole", [(3, True), (4, False)])
-def test_pairs_of_hot_stretches_are_complete(spark, monkeypatch, seed, whole):
-    monkeypatch.setattr(spans, "HOT", 2)
+@pytest.mark.parametrize("seed,whole,hot", [(3, True, 800), (4, False, 800), (4, False, 10**6)])
+def test_pairs_of_hot_stretches_are_complete(spark, monkeypatch, seed, whole, hot):
+    monkeypatch.setattr(spans, "HOT_CHARS", hot)
+    monkeypatch.setattr(spans, "LISTED", 8)
     docs, rnd = corpus(seed), random.Random(seed)
     text = lambda k: "".join(rnd.choice("abcdefgh") for _ in range(k))
     header, passage = text(260), text(330)
@@ -157,6 +155,20 @@ def test_pairs_of_hot_stretches_are_complete(spark, monkeypatch, seed, whole):
     assert len(got) == len(set(got)) and set(got) == shared_pairs(docs, 300)
 
 
+def test_long_copies_give_short_windows(spark):
+    rnd = random.Random(9)
+    text = "".join(rnd.choice("abcdefghij ") for _ in range(200_000))
+    docs = spark.createDataFrame([(1, text), (2, text[:100_000] + "#" + text[100_000:]), (3, "x" * 400)], "doc_id bigint, text string")
+    keys = spans.key_table(docs, 300)
+    win = spans.windows(docs, keys, spans.shared_keys(keys), 300)
+    longest, total = win.agg(F.max(F.length("text")), F.sum(F.length("text"))).first()
+    assert longest < 20_000 and total < 2 * 400_000
+    matches, members = spans.shared(docs, 300)
+    n = docs.select("doc_id", F.length("text").alias("n"))
+    assert [tuple(r) for r in spans.pairs(matches, members, n, 300).collect()] == [(1, 2)]
+    assert {r["doc_id"]: r["shared_chars"] for r in spans.portions(docs, matches, members, 300).collect()} == {1: 200_000, 2: 200_000, 3: 0}
+
+
 def test_member_pairs(spark):
     groups = {1: range(0, 70), 2: range(60, 65), 3: [900], 4: range(100, 135)}
     members = spark.createDataFrame([(g, i) for g, x in groups.items() for i in x], "group bigint, item bigint")
