@@ -1,3 +1,4 @@
+import random
 from itertools import combinations
 
 import pytest
@@ -88,8 +89,28 @@ def test_offsets_when_lower_case_is_longer(spark):
 
 
 def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "BLOCK_CHARS", 100)
+    monkeypatch.setattr(leakage, "BLOCK", 100)
     items = [(k, f"w{k} " + " ".join(f"t{k}x{j}" for j in range(14))) for k in range(20)]
     d = spark.createDataFrame([(k, "see " + t) for k, t in items], "doc_id bigint, text string")
     got = {tuple(r) for r in leakage.leaked_pairs(d, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
     assert got == {(k, k) for k in range(20)}
+
+
+@pytest.mark.parametrize("words,short", [(1, False), (3, False), (5, True), (12, False), (12, True)])
+def test_passages_match_brute_force(words, short):
+    rnd = random.Random(words)
+    text = lambda n, v: ", ".join(rnd.choice("abcdefgh"[:v]) for _ in range(n))
+    items = [(k, text(rnd.randrange(0, 30), rnd.choice([2, 8]))) for k in range(12)]
+    p = leakage.Patterns(items, words, short)
+    for _ in range(60):
+        src = rnd.choice(items)[1]
+        a = rnd.randrange(len(src) + 1)
+        doc = text(rnd.randrange(9), 8) + " " + src[a:] + " " + text(rnd.randrange(20), 2)
+        w, want = leakage.words_of(doc), set()
+        for k, t in items:
+            v = leakage.words_of(t)
+            n = min(words, len(v)) if short else words
+            grams = {tuple(v[i : i + n]) for i in range(len(v) - n + 1)} if n else set()
+            want |= {(k, i) for at in range(len(w) - n + 1) if tuple(w[at : at + n]) in grams for i in range(at, at + n)}
+        starts = {m.start(): i for i, m in enumerate(leakage.WORD.finditer(doc))}
+        assert {(k, starts[s] + i) for k, s, _, n, _ in p.passages(doc) for i in range(n)} == want
