@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+_SIMPLE = r"^[\x00-\x7f\x{4e00}-\x{9fff}\x{ac00}-\x{d7a3}]*$"  # nothing to fold but case and space
+
+
 def _fold(ch: str) -> str:
     kind, _, rest = unicodedata.decomposition(ch).partition(" ")
     return "".join(chr(int(x, 16)) for x in rest.split()) if kind in ("<wide>", "<narrow>") else ch
@@ -45,7 +48,9 @@ def _keys(names: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def contributor_key(name: Column) -> Column:
     """One form of a name whatever its case, spacing and character width; null where nothing is left."""
-    return F.pandas_udf(_keys, "string")(name)
+    simple = name.rlike(_SIMPLE)
+    short = F.nullif(F.regexp_replace(F.lower(name), r"[\s\x1c-\x1f]+", ""), F.lit(""))
+    return F.when(simple, short).otherwise(F.pandas_udf(_keys, "string")(F.when(~simple, name)))
 
 
 def latest_scores(scores: DataFrame) -> DataFrame:

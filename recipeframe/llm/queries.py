@@ -124,12 +124,44 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.same_looking(_p3_values(spark, d))
 
 
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The same as groups: every record with a value whose form is stored in more than one way."""
+    return lookalike.look_groups(_p3_values(spark, d))
+
+
+def p3_suggestions(spark: SparkSession, d: str) -> DataFrame:
+    """Rare words of titles one edit from a usual one."""
+    return lookalike.suggestions(table(spark, d, "recipes_fixture").select("id", "title").distinct(), "title")
+
+
 def p3_titles(spark: SparkSession, d: str) -> DataFrame:
     """Every title in its one form."""
     t = table(spark, d, "recipes_fixture").select("id", "title").distinct()
     return lookalike.canonical(t, "title", "form", lookalike.vocabulary(t, "title"))
 
 
+def _p3_sql(select: str) -> str:
+    """The table of lookalike.py as SQL: what single characters are drawn as, and the few drawn as several."""
+    spaces, letters, several = [], [], "value"
+    for c in map(chr, range(0x80, 0x10000)):
+        to = lookalike.look(c)
+        if to == " ":
+            spaces.append(c)
+        elif len(to) == 1 and to != c:
+            letters.append((c, to))
+        elif len(to) > 1 and c.isalpha() and not 0xD800 <= ord(c) < 0xE000:
+            several = f"replace({several}, '{c}', '{to}')" if c in "ﬀﬁﬂﬃﬄ" else several
+    one = "".join(c for c, _ in letters) + "".join(spaces), "".join(t for _, t in letters) + " " * len(spaces)
+    form = f"trim(regexp_replace(nfc_normalize(translate(regexp_replace(nfc_normalize({several}), '[\\p{{Cf}}\\x{{FE00}}-\\x{{FE0F}}]', '', 'g'), '{one[0]}', '{one[1]}')), '\\s+', ' ', 'g'))"
+    return f"""
+with v as (select distinct 'title' as field, id as key, title as value from recipes_fixture union select distinct 'recipeIngredient', line_no, unnest(recipeIngredient) from xiachufang_mini),
+f as (select field, key, value, {form} as form from v where key is not null and value is not null),
+s as (select * from f where form <> '' and (field, form) in (select (field, form) from f group by field, form having count(distinct value) > 1))
+{select}"""
+
+
+P3_PAIRS = "select distinct a.field, least(a.key, b.key) as key_a, greatest(a.key, b.key) as key_b from s a join s b on a.field = b.field and a.form = b.form and a.value < b.value and a.key <> b.key"
+
 # ---- 4: language labels
 
 
@@ -246,4 +278,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p1_merged": P1_SQL, "p2_found": P2_SQL, "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}
+    return {"p1_found": P1_SQL, "p1_merged": P1_SQL, "p2_found": P2_SQL, "p3_found": _p3_sql(P3_PAIRS), "p3_groups": _p3_sql("select field, form, key, value from s"), "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}

@@ -10,13 +10,13 @@ from recipeframe.llm.lookalike import Trie, skeleton
 
 @pytest.mark.parametrize(
     "a,b",
-    [("ｔａｒtе", "tarte"), ("piña", "piña"), ("ﬂat​bread", "flatbread"), ("a b", "a b"), ("⼩勺", "小勺"), ("Ⅳ", "IV"), ("so\xadup‎", "soup"), ("１２g", "12g"), ("豆︀腐", "豆腐"), ("οil", "oil"), ("  a  b ", "a b")],
+    [("ｔａｒtе", "tarte"), ("piña", "piña"), ("ﬂat​bread", "flatbread"), ("a b", "a b"), ("⼩勺", "小勺"), ("Ⅳ", "IV"), ("so\xadup‎", "soup"), ("１２g", "12g"), ("豆︀腐", "豆腐"), ("οil", "oil"), ("  a  b ", "a b"), ("ᎪꓢⲤ", "ASC"), ("ᴏꜱ", "os"), ("𝗌𝟣𝚊", "s1a")],
 )
 def test_same_look(a, b):
     assert skeleton(a) == skeleton(b)
 
 
-@pytest.mark.parametrize("a,b", [("Tarte", "tarte"), ("pina", "piña"), ("a:b", "a：b"), ("x²", "x2"), ("①", "1"), ("œuf", "oeuf"), ("straße", "strasse"), ("ſalt", "salt"), ("饭", "飯"), ("a b", "ab")])
+@pytest.mark.parametrize("a,b", [("Tarte", "tarte"), ("pina", "piña"), ("a:b", "a：b"), ("x²", "x2"), ("①", "1"), ("œuf", "oeuf"), ("straße", "strasse"), ("ſalt", "salt"), ("饭", "飯"), ("a b", "ab"), ("ı", "i"), ("𝐬", "s")])
 def test_visible_difference(a, b):
     assert skeleton(a) != skeleton(b)
 
@@ -55,6 +55,41 @@ def test_same_looking_matches_brute_force(spark):
     assert lookalike.same_looking(df.where("false")).count() == 0
 
 
+def test_groups_are_the_pairs(spark):
+    base = ["tarte", "tartе", "soup", "ｓoup", "soup ", "stew"]
+    rows = [("t", i, base[i % 6]) for i in range(30)]
+    df = spark.createDataFrame(rows, "field string, key bigint, value string")
+    by = {}
+    for r in lookalike.look_groups(df).collect():
+        by.setdefault((r["field"], r["form"]), set()).add((r["key"], r["value"]))
+    assert {(f, *sorted((k, m))) for (f, _), x in by.items() for (k, s), (m, t) in combinations(x, 2) if s != t and k != m} == brute(rows)
+
+
+def test_spelling_in_one_script(spark):
+    t = Trie([("рис", 3), ("pиc", 9), ("ｃafе", 5)])
+    assert t.match("pис") == "рис" and t.match("cafe") == t.match("ｃafе") == "cafe"
+
+
+def test_suggestions(spark):
+    rows = [("soup",)] * 20 + [("sоup",)] * 2 + [("soop",), ("soap bowl",), ("stew",), (None,), ("",), ("x" * 5000,)]
+    df = spark.createDataFrame(rows, "title string")
+    assert {(r["token"], r["n"], r["suggestion"]) for r in lookalike.suggestions(df, "title").collect()} == {("sоup", 2, "soup"), ("soop", 1, "soup"), ("soap", 1, "soup")}
+
+
+def test_plain_text_is_its_own_form():
+    import re
+
+    plain = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: rf"\U{int(m[1], 16):08x}", lookalike.PLAIN).replace(r"\z", r"\Z"))
+    for c in map(chr, range(0x20, 0x11000)):
+        if plain.match(c):
+            assert skeleton(c) == c and single_script_of(c)
+    assert plain.match("crème brûlée 2") and plain.match("盐：2克") and not plain.match("a  b") and not plain.match("tartе") and not plain.match("e\u0301") and not plain.match("a\n")
+
+
+def single_script_of(c):
+    return lookalike._script(c) in ("", "LATIN")
+
+
 def test_canonical_is_idempotent_and_keeps_nulls(spark):
     df = spark.createDataFrame([("piña ﬂan",), ("piña flan",), (None,), ("​",), ("Борщ",)], "t string")
     vocab = lookalike.vocabulary(df, "t")
