@@ -1,21 +1,24 @@
 """Document language: interpolated Kneser-Ney character models per language in sorted hash arrays.
 
-Training takes a bounded sample of labelled documents (``TRAIN_DOCS`` per language, the least hashes of the key), cut into
-sentences. Labels may be wrong and documents may mix languages, so the sample is cleaned first: a naive Bayes vote over the
-relative frequencies of n-grams in each language drops sentences labelled otherwise than they read. (A Kneser-Ney model
-can't do that itself: it learns the continuations of a few mislabelled sentences as well as those of the right ones.)
+Training takes a bounded sample of labelled documents (``TRAIN_DOCS`` per language, the least hashes of the key). Every
+tenth document is held out as delivered; the others' sentences are cleaned first, as labels may be wrong and documents mix
+languages: a naive Bayes vote over the relative frequencies of n-grams in each language drops sentences labelled otherwise
+than they read. (A Kneser-Ney model can't do that itself: it learns the continuations of a few mislabelled sentences as
+well as those of the right ones.)
 
 A model of order ``ORDER`` has, for every seen n-gram, the interpolated log probability of its last character, and for
 every seen context the log back-off weight. The n-grams of all languages share one sorted array of 64-bit hashes per
 order with a column per language, so a text is scored for all languages by one binary search per order and position.
-A sentence goes to the language of the lowest cross-entropy per character. Confidence is a softmax over the sentence's
-log likelihoods with a temperature fitted on held-out sentences. A sentence is rejected (language null) if its
-cross-entropy lies above that language's held-out ``REJECT`` quantile times ``SLACK``, or if it has no letters.
-
-Captions often have no sentence marks. A sentence of more than ``LONG`` letters is cut by the most likely path (Viterbi)
-through languages over its words (characters where writing has no spaces), each change costing ``SWITCH`` nats; text in
-brackets doesn't count, and a stretch too short to be a sentence (``LEAST`` letters, ``LEAST_CJK`` in scripts without
-spaces) goes with its neighbour. Such a stretch counts as one sentence per ``USUAL`` (``USUAL_CJK``) letters.
+A stretch goes to the language of the lowest cross-entropy per character. Confidence is a softmax over the log
+likelihoods with a temperature fitted on held-out sentences. A stretch is rejected (language null) if its cross-entropy
+lies above that language's limit, which is set between held-out sentences of the language and those of others that read
+most like it (``_limit``); the errors left are measured on other held-out documents (``train``).
+
+A sentence may change its language, and captions often have no sentence marks at all. So each sentence is cut by the most
+likely path (Viterbi) through languages over its words (characters where writing has no spaces), each change costing
+``SWITCH`` nats; text in brackets doesn't count, and a stretch too short to be a sentence (``LEAST`` letters, ``LEAST_CJK``
+in scripts without spaces) goes with its neighbour. A sentence of one language and up to ``LONG`` letters counts as one,
+any other stretch as one per ``USUAL`` (``USUAL_CJK``) letters.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql.window import Window
 LANGUAGES = ["de", "en", "es", "fr", "it", "ja", "ko", "pt", "zh"]
 # Three-letter codes (ISO 639-2 and -3) of these languages.
 THREE = {"deu": "de", "ger": "de", "eng": "en", "spa": "es", "fra": "fr", "fre": "fr", "ita": "it", "jpn": "ja", "kor": "ko", "por": "pt", "zho": "zh", "chi": "zh", "cmn": "zh"}
-ORDER, TRAIN_DOCS, REJECT, SLACK = 5, 250, 0.999, 2.0
+ORDER, TRAIN_DOCS, WEIGHT = 5, 250, 5.0
 LONG, SWITCH, LEAST, LEAST_CJK, USUAL, USUAL_CJK = 110, 14.0, 20, 9, 40, 16
 _RUN = re.compile(r"[^\W\d_]+")
 _BRACKET = re.compile(r"\([^()]*\)|（[^（）]*）|\[[^\[\]]*\]")
@@ -157,30 +160,61 @@ def agreeing(data: list[tuple[str, str]], order: int = 4, rounds: int = 2) -> li
     return [r for r, k in zip(data, keep) if k]
 
 
-def train(labelled: list[tuple[str, str]], order: int = ORDER) -> dict:
-    """Models from (language, sentence) pairs, cleaned and fitted, with held-out calibration."""
+def train(labelled: list[tuple[str, list[str]]], order: int = ORDER) -> dict:
+    """Models from documents (language, sentences). Of the held-out documents every second calibrates rejection and
+    confidence; on the others, with their labels as delivered, ``report`` has per language the numbers of sentences, and
+    the shares that are read as labelled (accuracy), that are so but rejected (false_reject), and that are accepted as some
+    other language by the models without their own (false_accept)."""
     langs = sorted({x for x, _ in labelled})
-    data = [(x, plain(t)) for x, t in labelled]
-    data = agreeing([(x, t) for x, t in data if len(t) > 8])
-    held = [r for i, r in enumerate(data) if i % 10 == 9]
-    fit = [r for i, r in enumerate(data) if i % 10 != 9]
+    docs = [(x, [t for t in map(plain, ss) if len(t) > 8]) for x, ss in labelled]
+    by = [[ss for y, ss in docs if y == x] for x in langs]
+    held = [[(x, t) for x, mine in zip(langs, by) for ss in mine[k::20] for t in ss] for k in (9, 19)]
+    fit = agreeing([(x, t) for x, mine in zip(langs, by) for i, ss in enumerate(mine) if i % 10 != 9 for t in ss])
     model = _joint({x: [t for y, t in fit if y == x] or [" "] for x in langs}, order)
-    ce, n = score(model, [t for _, t in held])
-    right = np.array([langs[b] == x for (x, _), b in zip(held, ce.argmin(1))])
-    model["accuracy"] = float(right.mean()) if len(right) else 0.0
-    top, who = ce.min(1), ce.argmin(1)
-    model["limit"] = np.array([np.quantile(top[(who == k) & right], REJECT) * SLACK if ((who == k) & right).any() else 99.0 for k in range(len(langs))])
-    y = np.array([langs.index(x) for x, _ in held])
-
-    def loss(t: float) -> float:  # capped, for labels that are still wrong
+    ce, n = score(model, [t for _, t in held[0]])
+    y = np.array([langs.index(x) for x, _ in held[0]], np.int64)
+    right = ce.argmin(1) == y if len(y) else np.zeros(0, bool)
+    foreign = ce.copy()
+    foreign[np.arange(len(y)), y] = np.inf  # as the models of the other languages alone would read
+    taken = foreign.argmin(1) if len(y) else y
+    model["limit"] = np.array([_limit(ce[right & (y == k), k], ce[right & (taken == k) & (y != k), k]) for k in range(len(langs))])
+
+    def loss(t: float) -> float:  # capped, for labels that are wrong
         z = -ce * n[:, None] / t
         z = z - z.max(1, keepdims=True)
         return float(np.minimum(6, -(z[np.arange(len(y)), y] - np.log(np.exp(z).sum(1)))).mean())
 
     model["temperature"] = min((1, 2, 4, 8, 16, 32), key=loss) if len(y) else 8
+    ce, _ = score(model, [t for _, t in held[1]])
+    y = np.array([langs.index(x) for x, _ in held[1]], np.int64)
+    ok = ce <= model["limit"]
+    model["report"] = []
+    for k, x in enumerate(langs):
+        mine = ce[y == k]
+        if len(mine):
+            read = mine.argmin(1) == k
+            others = np.where(np.arange(len(langs)) == k, np.inf, mine).argmin(1)
+            taken = ok[y == k][np.arange(len(mine)), others] if len(langs) > 1 else np.zeros(len(mine), bool)
+            model["report"].append((x, len(mine), float(read.mean()), float((read & ~ok[y == k][:, k]).sum() / max(1, read.sum())), float(taken.mean())))
+    total = sum(r[1] for r in model["report"])
+    model["accuracy"] = sum(r[1] * r[2] for r in model["report"]) / total if total else 0.0
     return model
 
 
+def _limit(own: np.ndarray, foreign: np.ndarray) -> float:
+    """The cross-entropy above which a stretch is rejected: where WEIGHT times the share of own sentences above plus the
+    share of foreign ones below is least, in the middle of the widest such place."""
+    if not len(own):
+        return 99.0
+    at = np.unique(np.concatenate([own, foreign, [2 * own.max()]]))
+    above = 1 - np.searchsorted(np.sort(own), at, side="right") / len(own)
+    below = np.searchsorted(np.sort(foreign), at, side="right") / max(1, len(foreign))
+    cost = (WEIGHT * above + below)[:-1]
+    best = np.flatnonzero(cost <= cost.min() + 1e-9)
+    k = best[np.argmax((at[1:] - at[:-1])[best])]
+    return float((at[k] + at[k + 1]) / 2)
+
+
 def _joint(texts: dict[str, list[str]], order: int) -> dict:
     langs = sorted(texts)
     fits = [_fit(texts[x], order) for x in langs]
@@ -238,49 +272,42 @@ def _positions(model: dict, codes: np.ndarray, starts: np.ndarray) -> np.ndarray
     return lp
 
 
-def classify(model: dict, texts: list[str]) -> tuple[list[str | None], np.ndarray]:
-    """Language (null if rejected) and confidence of each raw sentence."""
-    seen: dict[str, int] = {}
-    which = [seen.setdefault(plain(t), len(seen)) for t in texts]
-    distinct = list(seen)
-    if not distinct:
-        return [], np.zeros(0)
-    ce, n = score(model, distinct)
-    who = ce.argmin(1)
-    z = -ce * n[:, None] / model["temperature"]
-    z = np.exp(z - z.max(1, keepdims=True))
-    conf = z.max(1) / z.sum(1)
-    ok = (ce.min(1) <= model["limit"][who]) & (n > 2)
-    lang = [model["langs"][w] if o else None for w, o in zip(who, ok)]
-    conf = np.where(ok, conf, 0.0)
-    return [lang[w] for w in which], conf[which]
-
-
-def stretches(model: dict, text: str) -> list[tuple[int, int, str | None, float, int]]:
-    """(start, end, language, confidence, sentences it counts as) of a long text without sentence marks."""
-    masked = _BRACKET.sub(lambda m: " " * len(m[0]), text)
+def _tokens(text: str) -> tuple[list[tuple[int, int]], str, list[int]]:
+    """Words (characters where writing has no spaces) outside brackets, the line the models see, each word's place in it."""
+    masked = _BRACKET.sub(lambda m: " " * len(m[0]), text) if "(" in text or "（" in text or "[" in text else text
     tokens: list[tuple[int, int]] = []
     for m in _RUN.finditer(masked):
         s, e = m.span()
         while s < e:
-            if _CJK.match(masked, s):
-                tokens.append((s, s + 1))
-                s += 1
-            else:
-                x = _CJK.search(masked, s, e)
-                tokens.append((s, x.start() if x else e))
-                s = tokens[-1][1]
-    if not tokens:
-        return []
-    words = [unicodedata.normalize("NFC", masked[s:e].lower()) for s, e in tokens]
-    parts, at, place = [" "], [], 1
-    for k, w in enumerate(words):
+            x = _CJK.search(masked, s, e)
+            if x is None:
+                tokens.append((s, e))
+                break
+            if x.start() > s:
+                tokens.append((s, x.start()))
+            tokens.append((x.start(), x.start() + 1))
+            s = x.start() + 1
+    parts, at, place, last = [" "], [], 1, len(tokens) - 1
+    for k, (s, e) in enumerate(tokens):
         at.append(place)
-        gap = "" if k + 1 < len(words) and tokens[k + 1][0] == tokens[k][1] else " "
-        parts.append(w + gap)
-        place += len(w) + len(gap)
-    lp = _positions(model, *_codes(["".join(parts)]))
-    emit = np.add.reduceat(lp, at, axis=0)
+        w = unicodedata.normalize("NFC", masked[s:e].lower())
+        if k == last or tokens[k + 1][0] != e:
+            w += " "
+        parts.append(w)
+        place += len(w)
+    return tokens, "".join(parts), at
+
+
+def _verdict(model: dict, total: np.ndarray, x: int, n: int) -> tuple[str | None, float]:
+    """Language (null if rejected) and confidence of ``n`` characters with these log likelihoods that read as ``x``."""
+    if -total[x] / max(1, n) > model["limit"][x]:
+        return None, 0.0
+    w = total / model["temperature"]
+    return model["langs"][x], float(1 / np.exp(w - w[x]).sum())
+
+
+def _cut(model: dict, emit: np.ndarray, sizes: np.ndarray, tokens: list[tuple[int, int]], text: str) -> list[tuple[int, int, str | None, float, int]]:
+    """(start, end, language, confidence, sentences it counts as) along the most likely path through languages."""
     best, back = emit[0], []
     for row in emit[1:]:
         jump = best.max() - SWITCH
@@ -295,39 +322,70 @@ def stretches(model: dict, text: str) -> list[tuple[int, int, str | None, float,
         if not runs or runs[-1][2] != x:
             runs.append([k, k, x, 0, 0])
         r = runs[-1]
-        r[1], r[3], r[4] = k + 1, r[3] + e - s, r[4] + ((e - s) if _CJK.match(masked, s) else 0)
+        r[1], r[3], r[4] = k + 1, r[3] + e - s, r[4] + ((e - s) if _CJK.match(text, s) else 0)
     whole = [r for r in runs if r[3] >= (LEAST_CJK if 2 * r[4] > r[3] else LEAST)] or [max(runs, key=lambda r: r[3])]
-    out: list[tuple[int, int, str | None, float, int]] = []
     merged: list[list[int]] = []
     for r in whole:
         if merged and merged[-1][2] == r[2]:
             merged[-1][1], merged[-1][3], merged[-1][4] = r[1], merged[-1][3] + r[3], merged[-1][4] + r[4]
         else:
             merged.append(list(r))
+    out: list[tuple[int, int, str | None, float, int]] = []
     for a, z, x, letters, cjk in merged:
-        span = lp[at[a] : at[z] if z < len(at) else len(lp)]
-        total = span.sum(0)
-        ok = -total[x] / max(1, len(span)) <= model["limit"][x]
-        w = total / model["temperature"]
-        conf = float(1 / np.exp(w - w[x]).sum()) if ok else 0.0
-        n = max(1, round(letters / (USUAL_CJK if 2 * cjk > letters else USUAL)))
-        out.append((tokens[a][0], tokens[z - 1][1], model["langs"][x] if ok else None, conf, n))
+        lang, conf = _verdict(model, emit[a:z].sum(0), x, int(sizes[a:z].sum()))
+        n = 1 if len(merged) == 1 and letters <= LONG else max(1, round(letters / (USUAL_CJK if 2 * cjk > letters else USUAL)))
+        out.append((tokens[a][0], tokens[z - 1][1], lang, conf, n))
+    return out
+
+
+def stretches(model: dict, texts: list[str]) -> list[list[tuple[int, int, str | None, float, int]]]:
+    """Of each sentence its stretches (start, end, language, confidence, sentences it counts as).
+
+    If taking every word in its own best language gains no more than one change costs, no path with a change is better
+    than the best language throughout; so only the other sentences need the path itself."""
+    out: list[list[tuple[int, int, str | None, float, int]]] = [[] for _ in texts]
+    cut = [_tokens(t) for t in texts]
+    ids = [i for i, (tokens, _, _) in enumerate(cut) if tokens]
+    while ids:
+        n, size = 0, 0
+        while n < len(ids) and (n == 0 or size + len(cut[ids[n]][1]) <= 150_000):
+            size += len(cut[ids[n]][1])
+            n += 1
+        part, ids = ids[:n], ids[n:]
+        codes, starts = _codes([cut[i][1] for i in part])
+        lp = _positions(model, codes, starts)
+        at = np.concatenate([np.asarray(cut[i][2], np.int64) + s for i, s in zip(part, starts)])
+        first = np.cumsum([0] + [len(cut[i][2]) for i in part])
+        # a word's part of the line ends where the next begins, the last one's at the end of its line
+        ends = np.concatenate([at[1:], [len(codes)]])
+        ends[first[1:] - 1] = starts[1:]
+        bounds = np.stack([at, ends], 1).ravel()
+        emit = np.add.reduceat(np.concatenate([lp, np.zeros((1, lp.shape[1]), lp.dtype)]), bounds, axis=0)[::2]
+        sizes = ends - at
+        total, free = np.add.reduceat(emit, first[:-1], axis=0), np.add.reduceat(emit.max(1), first[:-1])
+        who, length = total.argmax(1), np.add.reduceat(sizes, first[:-1])
+        for k, i in enumerate(part):
+            tokens, a, z = cut[i][0], first[k], first[k + 1]
+            letters = sum(e - s for s, e in tokens)
+            if free[k] - total[k, who[k]] <= SWITCH and letters <= LONG:
+                out[i] = [(tokens[0][0], tokens[-1][1], *_verdict(model, total[k], int(who[k]), int(length[k])), 1)]
+            else:
+                out[i] = _cut(model, emit[a:z], sizes[a:z], tokens, texts[i])
     return out
 
 
 def pieces(model: dict, texts: list[str]) -> list[tuple[int, int, int, str | None, float, int]]:
     """(text, start, end, language, confidence, sentences it counts as) of every sentence of every text, in order."""
     spans = [(i, s, e) for i, t in enumerate(texts) for s, e in sentences(t) if any(c.isalpha() for c in t[s:e])]
-    long = [e - s > LONG and sum(len(m[0]) for m in _RUN.finditer(texts[i], s, e)) > LONG for i, s, e in spans]
-    short = [texts[i][s:e] for (i, s, e), x in zip(spans, long) if not x]
-    langs, conf = classify(model, short)
-    given = iter(zip(langs, conf))
+    known: dict[str, int] = {}
+    which = [known.setdefault(texts[i][s:e], len(known)) for i, s, e in spans]
+    found = stretches(model, list(known))
     out = []
-    for (i, s, e), x in zip(spans, long):
-        if x:
-            out += [(i, s + a, s + z, *rest) for a, z, *rest in stretches(model, texts[i][s:e])]
+    for (i, s, e), k in zip(spans, which):
+        if len(found[k]) == 1:
+            out.append((i, s, e, *found[k][0][2:]))
         else:
-            out.append((i, s, e, *next(given), 1))
+            out += [(i, s + a, s + z, *rest) for a, z, *rest in found[k]]
     return out
 
 
@@ -338,14 +396,14 @@ def label(text: str | None) -> str | None:
     return first if first in LANGUAGES else None
 
 
-def sample(docs: DataFrame, key: str, text: str, lang: str, per_language: int = TRAIN_DOCS) -> list[tuple[str, str]]:
-    """(language, sentence) of at most ``per_language`` documents of each labelled language; those with the least hashes
-    of their keys. At most len(LANGUAGES) * per_language documents are collected."""
+def sample(docs: DataFrame, key: str, text: str, lang: str, per_language: int = TRAIN_DOCS, longest: int = 20_000) -> list[tuple[str, list[str]]]:
+    """(language, sentences) of at most ``per_language`` documents of each labelled language; those with the least hashes
+    of their keys among documents of at most ``longest`` characters. This bounds what is collected and fitted on."""
     named = F.element_at(F.split(F.lower(F.trim(lang)), r"[-_\s.]"), 1)
     code = F.coalesce(F.create_map(*[F.lit(x) for kv in THREE.items() for x in kv])[named], named)
-    d = docs.where(F.col(text).isNotNull()).select(code.alias("_l"), F.xxhash64(key).alias("_h"), F.col(text).alias("_t")).where(F.col("_l").isin(LANGUAGES))
+    d = docs.where(F.length(text) <= longest).select(code.alias("_l"), F.xxhash64(key).alias("_h"), F.col(text).alias("_t")).where(F.col("_l").isin(LANGUAGES))
     few = d.withColumn("_n", F.row_number().over(Window.partitionBy("_l").orderBy("_h", "_t"))).where(F.col("_n") <= per_language)
-    return [(r["_l"], r["_t"][s:e]) for r in few.select("_l", "_t", "_h").orderBy("_l", "_h", "_t").collect() for s, e in sentences(r["_t"])]
+    return [(r["_l"], [r["_t"][s:e] for s, e in sentences(r["_t"])]) for r in few.select("_l", "_t", "_h").orderBy("_l", "_h", "_t").collect()]
 
 
 SEGMENTS = "segment int, start int, end int, n_sentences int, segment_lang string, confidence double"

@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from recipeframe.runtime import bounded_collect, materialize, prefix_sum
 
-TRAIN_DOCS, FEATURES, SOURCES, STRATA = 200, 2048, 1000, 64
+TRAIN_DOCS, LONGEST, FEATURES, SOURCES, STRATA, PARTS = 200, 20_000, 2048, 1000, 64, 256
 # Fixed value: the pattern by which this byte-level BPE cuts text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -99,10 +99,11 @@ def fit(x: np.ndarray, y: np.ndarray, sources: list[str], prior: np.ndarray, ste
 
 
 def classifier(docs: DataFrame, vocabulary: str) -> Classifier:
-    """Fitted on the documents with the least hashes of each source: at most SOURCES * TRAIN_DOCS rows are collected."""
+    """Fitted on the documents of each source with the least hashes among those of at most LONGEST characters: at most
+    SOURCES * TRAIN_DOCS * LONGEST characters are collected."""
     labelled = docs.where("source is not null and text is not null")
     n = {r["source"]: r["count"] for r in bounded_collect(labelled.groupBy("source").count(), SOURCES, "sources")}
-    few = labelled.select("source", "text", F.xxhash64("doc_id").alias("h"))
+    few = labelled.where(F.length("text") <= LONGEST).select("source", "text", F.xxhash64("doc_id").alias("h"))
     few = few.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("h", "text"))).where(F.col("k") <= TRAIN_DOCS)
     rows = sorted(few.select("h", "source", "text").collect())
     sources = sorted(n)
@@ -225,9 +226,13 @@ def _totals(cells: DataFrame, history: list[list[float]], k: int) -> np.ndarray:
 
 
 def draw(mix: Mix, seed: int = 0) -> DataFrame:
-    """(doc_id, source, tokens, copies) of the documents drawn at least once."""
+    """(doc_id, source, tokens, copies) of the documents drawn at least once.
+
+    The running sum goes by stratum of length, then by hash; each stratum is summed in PARTS ranges of the hash."""
     r = mix.rates.where("rate > 0").withColumn("_s", F.coalesce("source", F.lit("")))
-    r = r.withColumn("_h", F.xxhash64("doc_id", F.lit(seed))).withColumn("_b", F.floor(F.log1p("tokens") * STRATA))
+    r = r.withColumn("_h", F.xxhash64("doc_id", F.lit(seed)))
+    part = F.shiftright("_h", 64 - (PARTS - 1).bit_length()) + PARTS // 2
+    r = r.withColumn("_b", F.floor(F.log1p("tokens") * STRATA) * PARTS + part)
     r = prefix_sum(r, ["_s"], ["_h", "doc_id"], "_b", "rate", "_before")
     start = F.lit(0.5)  # the middle of a step: sums of rates are met to within half a copy
     copies = F.least(F.floor(F.col("_before") + F.col("rate") + start + 1e-9) - F.floor(F.col("_before") + start + 1e-9), F.col("cap"))
@@ -239,6 +244,7 @@ def report(mix: Mix, drawn: DataFrame, targets: DataFrame) -> DataFrame:
     got = drawn.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("drawn_tokens"), F.count(F.lit(1)).alias("documents"), F.max("copies").alias("most_copies"))
     there = mix.rates.groupBy("source").agg(F.sum("tokens").alias("tokens_available"))
     t = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    out = t.join(there.join(got, "source", "left"), "source", "full")
+    got = got.withColumnRenamed("source", "_s")
+    out = t.join(there.join(got, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "source", "full")
     share = F.coalesce(F.col("drawn_tokens") / F.sum("drawn_tokens").over(Window.partitionBy(F.lit(0))), F.lit(0.0))  # one row per source
     return out.select("source", "target_share", share.alias("share"), "max_repeats", F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("drawn_tokens", F.lit(0)).alias("drawn_tokens"), F.coalesce("tokens_available", F.lit(0)).alias("tokens_available"))

@@ -181,6 +181,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select("video_id", "field", "true_lang")
 
 
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    """How the models do on held-out documents, labels as delivered."""
+    rows = _p4_model(spark, d)["report"]
+    return spark.createDataFrame(rows, "lang string, sentences int, accuracy double, false_reject double, false_accept double")
+
+
 def p4_segments(spark: SparkSession, d: str) -> DataFrame:
     return language.segments(_p4_videos(spark, d), "video_id", "transcript", _p4_model(spark, d))
 
@@ -241,10 +247,24 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return mixture.report(mix, mixture.draw(mix), targets)
 
 
+def _p8_soft(spark: SparkSession, d: str) -> mixture.Mix:
+    """The soft form: labels count 0.9, the classifier 0.1, and documents without a source take part by the classifier."""
+    return mixture.solve(table(spark, d, "documents"), table(spark, d, "mix_targets"), label_trust=0.9, unlabelled=True)
+
+
+def p8_soft_draw(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.draw(_p8_soft(spark, d))
+
+
+def p8_soft_report(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of the soft draw by label; documents without one are a row of their own."""
+    mix = _p8_soft(spark, d)
+    return mixture.report(mix, mixture.draw(mix), table(spark, d, "mix_targets"))
+
+
 def p8_expected(spark: SparkSession, d: str) -> DataFrame:
-    """The soft form: labels count 0.9, documents without a source take part by the classifier; shares are expected ones."""
-    targets = table(spark, d, "mix_targets")
-    mix = mixture.solve(table(spark, d, "documents"), targets, label_trust=0.9, unlabelled=True)
+    """Shares of the soft form as expected under memberships, with the classifier's held-out accuracy."""
+    mix = _p8_soft(spark, d)
     total = float(mix.expected.sum()) or 1.0
     rows = [(s, mix.targets.get(s), float(e) / total, mix.accuracy) for s, e in zip(mix.sources, mix.expected)]
     return spark.createDataFrame(rows, "source string, target_share double, expected_share double, classifier_accuracy double")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,9 +15,8 @@ SENTENCES = {
 
 @pytest.fixture(scope="module")
 def model():
-    rows = [(x, s.replace("ten", f"ten {w}")) for w in "abcdefghijkl" for x, ss in SENTENCES.items() for s in ss]
-    wrong = [("en", s) for s in SENTENCES["ja"]]
-    return language.train([*rows, *wrong])
+    docs = [(x, [s.replace("ten", f"ten {w}") for s in ss]) for w in "abcdefghijklmnopqrst" for x, ss in SENTENCES.items()]
+    return language.train([*docs, ("en", SENTENCES["ja"])])
 
 
 def test_sentences():
@@ -24,12 +25,32 @@ def test_sentences():
     assert language.sentences("") == [] and language.sentences(" \n ") == []
 
 
-def test_classify(model):
-    assert model["accuracy"] > 0.95
+def read(model, texts):
+    return [[g[2] for g in x] for x in language.stretches(model, texts)]
+
+
+def test_sentences_are_read(model):
+    assert model["accuracy"] > 0.95 and all(r[3] < 0.05 for r in model["report"])
     texts = [s for ss in SENTENCES.values() for s in ss]
-    assert language.classify(model, texts)[0] == [x for x, ss in SENTENCES.items() for _ in ss]
-    assert language.classify(model, [])[0] == []
-    assert language.classify(model, ["Щи да каша пища наша"])[0] == [None]
+    assert read(model, texts) == [[x] for x, ss in SENTENCES.items() for _ in ss]
+    assert read(model, []) == [] and read(model, ["", "(Musik) 12"]) == [[], []]
+    assert read(model, ["Щи да каша пища наша"]) == [[None]]
+
+
+def test_held_out_labels_count_as_delivered():
+    docs = [(x, ss) for x, ss in SENTENCES.items() for _ in range(20)]
+    wrong = [*docs[:59], ("de", SENTENCES["ja"]), *docs[60:]]  # the German document that is measured on
+    assert language.train(docs)["accuracy"] == 1.0 and language.train(wrong)["accuracy"] == 0.75
+
+
+def test_the_shortcut_is_the_path(model, monkeypatch):
+    rnd = random.Random(3)
+    every = [s for ss in SENTENCES.values() for s in ss]
+    texts = [" ".join(rnd.sample(every, rnd.randint(1, 3))).replace(".", "") for _ in range(40)] + every
+    got = language.stretches(model, texts)
+    monkeypatch.setattr(language, "LONG", 0)  # every sentence takes the path
+    for a, b in zip(got, language.stretches(model, texts)):
+        assert [x[:3] for x in a] == [x[:3] for x in b]
 
 
 def test_probabilities_sum_to_one():
@@ -43,7 +64,7 @@ def test_probabilities_sum_to_one():
 def test_unpunctuated_mixture(model):
     en = " ".join(SENTENCES["en"] * 2).replace(".", "").lower()
     es = " ".join(SENTENCES["es"]).replace(".", "").lower()
-    got = language.stretches(model, en + " (にんじん) " + es)
+    got = language.stretches(model, [en + " (にんじん) " + es])[0]
     assert [g[2] for g in got] == ["en", "es"]
     assert abs(got[0][1] - len(en)) < 15
 
@@ -67,7 +88,7 @@ def test_wrong_labels_and_segments(spark, model):
 def test_sample_is_bounded(spark):
     d = spark.createDataFrame([(i, "One sentence here. Two.", ["en", "EN-us", "es", None, "xx"][i % 5]) for i in range(100)], "k bigint, t string, l string")
     got = language.sample(d, "k", "t", F.col("l"), per_language=3)
-    assert {x for x, _ in got} == {"en", "es"} and len(got) == 12
+    assert {x for x, _ in got} == {"en", "es"} and len(got) == 6 and all(len(ss) == 2 for _, ss in got)
 
 
 def mix_docs(spark):
