@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from recipeframe.llm.components import components
 from recipeframe.runtime import join_hot, materialize, member_pairs
 
-RARE, FRAGMENTS, LOW = 64, 5, 0.1
+RARE, FRAGMENTS, LOW, FREQUENT = 64, 5, 0.1, 1_000_000
 LEVELS = [*range(1, 7), *(round(1.25**k) + 3 for k in range(6, 60))]  # numbers of pieces
 
 
@@ -49,8 +49,10 @@ def word_sets(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
 
 def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cls, n, words) of distinct word sets, and members (key, cls, size). The class is its least key."""
-    keyed = materialize(sets.withColumn("_h", F.sha2(F.array_join("words", " "), 256)), "sets")
+    """(cls, n, words) of distinct word sets, and members (key, cls, size). The class is its least key; from here on a word
+    is its 64-bit hash (two different words of a pair of records are taken for one with a chance of about 1e-16)."""
+    hashed = sets.select("key", F.expr("transform(words, w -> xxhash64(w))").alias("words"), F.sha2(F.array_join("words", " "), 256).alias("_h"))
+    keyed = materialize(hashed, "sets")
     group = materialize(keyed.groupBy("_h").agg(F.min("key").alias("cls"), F.count(F.lit(1)).alias("size")), "classes")
     members = join_hot(keyed.select("key", "_h", "words"), group, "_h", "size")
     bare = F.size("words") == 0  # records without words are nobody's copies
@@ -61,8 +63,8 @@ def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _bits(words: str, half: int) -> str:
-    """SQL: 64 parity bits of an array of words."""
-    return f"aggregate({words}, 0L, (a, w) -> a ^ if((xxhash64(w) & 64) = {64 * half}, shiftleft(1L, cast(xxhash64(w) & 63 as int)), 0L))"
+    """SQL: 64 parity bits of an array of hashed words."""
+    return f"aggregate({words}, 0L, (a, w) -> a ^ if((w & 64) = {64 * half}, shiftleft(1L, cast(w & 63 as int)), 0L))"
 
 
 def _pieces(batches: Iterator[pd.DataFrame], t: float, least: int, usual: int) -> Iterator[pd.DataFrame]:
@@ -112,6 +114,50 @@ def _pieces(batches: Iterator[pd.DataFrame], t: float, least: int, usual: int) -
                 yield pd.DataFrame(rows | {"k": np.concatenate([x for _, x, _ in out]), "larger": np.concatenate([np.full(len(x), z) for x, _, z in out])})
 
 
+def _cut(reps: DataFrame, each: DataFrame, freq: DataFrame) -> DataFrame:
+    """(cls, n, frequent, cut, rare, p0, p1): each record's words in the global order, with the fragment of each frequent
+    one (they pass from one to the next where the document frequency passes RARE times a power of 8), and parities.
+
+    Frequent words stand in more than RARE classes each. Up to FREQUENT of them are looked up in a broadcast sorted array
+    (16 bytes a word); if there are more, words are joined with their frequencies instead, hot words apart."""
+    common = freq.where(F.col("df") > RARE)
+    kind = dict(reps.dtypes)["cls"]
+    if common.count() > FREQUENT:
+        pieces = join_hot(each, freq, "w", "df").groupBy("cls").agg(
+            F.array_sort(F.collect_list(F.when(F.col("df") > RARE, F.struct("df", "w")))).alias("frequent"),
+            F.collect_list(F.when(F.col("df") <= RARE, F.col("w"))).alias("rare"),
+        )
+        cut = f"transform(frequent, x -> least({FRAGMENTS - 1}, 1 + cast(floor(log(8, x.df / {RARE}) + 1e-9) as int)))"
+        d = pieces.select("cls", (F.size("rare") + F.size("frequent")).alias("n"), F.expr("frequent.w").alias("frequent"), F.expr(cut).alias("cut"), "rare")
+        return d.withColumns({"p0": F.expr(_bits("concat(rare, frequent)", 0)), "p1": F.expr(_bits("concat(rare, frequent)", 1))})
+    rows = common.orderBy("w").toPandas()
+    b = reps.sparkSession.sparkContext.broadcast((rows["w"].to_numpy(np.int64), rows["df"].to_numpy(np.int64)))
+    last, rare_to = FRAGMENTS - 1, RARE
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, dfs = b.value
+        for batch in batches:
+            if not len(batch):
+                continue
+            sizes = batch["words"].map(len).to_numpy(np.int64)
+            w = np.concatenate(batch["words"].tolist()).astype(np.int64)
+            owner = np.repeat(np.arange(len(batch)), sizes)
+            at = np.minimum(np.searchsorted(known, w), max(0, len(known) - 1))
+            often = known[at] == w if len(known) else np.zeros(len(w), bool)
+            starts = np.cumsum(sizes) - sizes
+            bit = np.left_shift(np.int64(1), w & 63)
+            halves = [np.bitwise_xor.reduceat(np.where((w & 64) == 64 * k, bit, 0), starts) for k in (0, 1)]
+            f, fo = w[often], owner[often]
+            df = dfs[at[often]] if len(known) else f
+            order = np.lexsort((f, df, fo))
+            f, fo, df = f[order], fo[order], df[order]
+            cut = np.minimum(last, 1 + np.floor(np.log(df / rare_to) / np.log(8) + 1e-9)).astype(np.int32)
+            each = lambda values, of: np.split(values, np.searchsorted(of, np.arange(1, len(batch))))
+            yield pd.DataFrame({"cls": batch["cls"], "n": sizes.astype(np.int32), "frequent": each(f, fo), "cut": each(cut, fo), "rare": each(w[~often], owner[~often]), "p0": halves[0], "p1": halves[1]})
+
+    return reps.select("cls", "words").mapInPandas(run, f"cls {kind}, n int, frequent array<bigint>, cut array<int>, rare array<bigint>, p0 bigint, p1 bigint")
+
+
 def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
     """(a, b, overlap, union) of class pairs a < b with Jaccard >= threshold > 0.5."""
     if not 0.5 < threshold < 1:
@@ -120,19 +166,7 @@ def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
     each = reps.select("cls", F.explode("words").alias("w"))
     freq = each.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     freq = materialize(freq, "df")
-    # a record's words are marked rare or with their place in the order; frequent words are few by their definition:
-    # each is in more than RARE classes, so there are at most (all words of all records) / RARE of them
-    common = freq.where(F.col("df") > RARE)
-    marked = each.join(common, "w", "left")
-    pieces = marked.groupBy("cls").agg(
-        F.array_sort(F.collect_list(F.when(F.col("df").isNotNull(), F.struct("df", "w")))).alias("frequent"),
-        F.collect_list(F.when(F.col("df").isNull(), F.col("w"))).alias("rare"),
-    )
-    # fragments 1.. cut the order where the document frequency passes RARE times a power of 8
-    cut = f"transform(frequent, x -> least({FRAGMENTS - 1}, 1 + cast(floor(log(8, x.df / {RARE})) as int)))"
-    d = pieces.select("cls", F.expr("frequent.w").alias("frequent"), F.expr(cut).alias("cut"), "rare", (F.size("rare") + F.size("frequent")).alias("n"))
-    d = d.withColumns({"p0": F.expr(f"{_bits('concat(rare, frequent)', 0)}"), "p1": F.expr(f"{_bits('concat(rare, frequent)', 1)}")})
-    d = materialize(d, "pieces")
+    d = materialize(_cut(reps, each, freq), "pieces")
     least = d.agg(F.min(F.size("rare")).alias("m")).first()["m"] or 0
     close = lambda x, y: (
         f"least({x}.n, {y}.n) >= ceil({t} * greatest({x}.n, {y}.n) - 1e-9)"
@@ -144,7 +178,7 @@ def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
     met = r.alias("x").join(r.alias("y"), F.expr(f"x.w = y.w and x.cls < y.cls and {close('x', 'y')}")).select(F.expr("x.cls").alias("a"), F.expr("y.cls").alias("b"))
     # the other fragments: pairs that share frequent words only, met at equal pieces
     usual = d.agg(F.percentile_approx(F.size("rare"), LOW)).first()[0] or 0
-    h = d.select("cls", "n", "p0", "p1", F.size("rare").alias("r"), F.expr("transform(frequent, w -> xxhash64(w))").alias("h"))
+    h = d.select("cls", "n", "p0", "p1", F.size("rare").alias("r"), F.col("frequent").alias("h"))
     keyed = materialize(h.mapInPandas(lambda batches: _pieces(batches, t, int(least), int(usual)), f"cls {dict(d.dtypes)['cls']}, n int, p0 bigint, p1 bigint, k bigint, larger boolean"), "keyed")
     probe, index = keyed.where("larger"), keyed.where("not larger")
     met2 = probe.alias("x").join(index.alias("y"), F.expr(f"x.k = y.k and (x.n > y.n or (x.n = y.n and x.cls > y.cls)) and {close('x', 'y')}"))

@@ -15,9 +15,10 @@ def similar(rows, t):
     return {(a, b) for a, b in combinations(sorted(s), 2) if s[a] and len(s[a] & s[b]) >= t * len(s[a] | s[b]) - 1e-9}
 
 
-@pytest.mark.parametrize("seed,rare,vocab", [(1, 8, 60), (2, 0, 40), (3, 3, 200), (4, 1, 25)])
-def test_near_duplicates_match_brute_force(spark, monkeypatch, seed, rare, vocab):
+@pytest.mark.parametrize("seed,rare,vocab,frequent", [(1, 8, 60, 10**6), (1, 8, 60, 0), (2, 0, 40, 10**6), (3, 3, 200, 10**6), (4, 1, 25, 10**6), (4, 1, 25, 0)])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, seed, rare, vocab, frequent):
     monkeypatch.setattr(neardup, "RARE", 5)
+    monkeypatch.setattr(neardup, "FREQUENT", frequent)
     rnd = random.Random(seed)
     rows = {}
     for i in range(260):
