@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recipeframe.functions.text import contest, copy_key, remake
+from recipeframe.runtime import join_hot, materialize
 
 OWN = ["remake_n", "last_review", "years_active", "copy_group", "n_copies", "n_authors", "pooled_rating_n", "pooled_remake_n", "is_contest", "structural_fail", "safety_fail", "pos_tier", "pos_weight", "submitted", "contributor_id"]
 # Weight of each tier.
@@ -25,7 +26,7 @@ def evidence(interactions: DataFrame) -> DataFrame:
 def with_evidence(df: DataFrame, meta: DataFrame, interactions: DataFrame) -> DataFrame:
     base = df.drop(*OWN)
     m = meta.select("id", "contributor_id", day("submitted").alias("submitted"))
-    per = evidence(interactions)
+    per = materialize(evidence(interactions), "evidence")
     d = base.join(m, "id", "left").join(per.withColumnRenamed("recipe_id", "id"), "id", "left")
     days = F.datediff("last_review", "submitted")
     return d.withColumn("remake_n", F.coalesce("remake_n", F.lit(0))).withColumn("years_active", F.greatest(F.coalesce(days / F.lit(365.25).cast("double"), F.lit(0.0)), F.lit(0.0)))
@@ -38,9 +39,12 @@ def copy_pool(df: DataFrame) -> DataFrame:
 
 
 def confidence(df: DataFrame, meta: DataFrame, interactions: DataFrame) -> DataFrame:
-    """Adds the confidence columns; needs lint_flags. Running it on its own output gives the same."""
+    """Adds the confidence columns; needs lint_flags. Running it on its own output gives the same.
+
+    Reviews are read once: their evidence is written before it is used for pools and rows. Pools are a row per ingredient
+    set, of which one may hold a large part of all recipes (those without Latin ingredients share the empty one)."""
     d = with_evidence(df, meta, interactions).withColumn("copy_group", copy_key(F.col("ingredients")))
-    d = d.join(copy_pool(d), "copy_group")
+    d = join_hot(d, materialize(copy_pool(d), "pool"), "copy_group", "n_copies")
     safety = F.coalesce(F.size("safety_flags") > 0, F.lit(False)) if "safety_flags" in df.columns else F.lit(False)
     d = d.withColumn("is_contest", contest(F.col("title"))).withColumn("structural_fail", F.arrays_overlap("lint_flags", F.array(F.lit("no_steps"), F.lit("no_ingredients")))).withColumn("safety_fail", safety)
     r, m, y, a = F.col("pooled_rating_n"), F.col("pooled_remake_n"), F.col("years_active"), F.col("n_authors")

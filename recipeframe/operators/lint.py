@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recipeframe.functions.text import DESCRIPTORS, stemmed, tokens
+from recipeframe.functions.text import DESCRIPTORS, stem, tokens
 
 WEEK = 10080
 _NONE = "array<string>"
@@ -21,7 +21,7 @@ def body_words(steps: Column) -> Column:
 
 def n_unused(ingredients: Column, body: Column) -> Column:
     """How many ingredients no step mentions. Each ingredient's words are taken once, then compared."""
-    plain = F.array(*[F.lit(w) for w in stemmed(DESCRIPTORS)])
+    plain = F.array_distinct(F.array(*[stem(F.lit(w)) for w in DESCRIPTORS]))  # constant: folded when planned
     contents = F.transform(ingredients, lambda i: F.array_except(tokens(i), plain))
 
     def missing(content: Column) -> Column:

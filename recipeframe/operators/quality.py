@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recipeframe.runtime import materialize, prefix_sum, range_bucket
+
 PRIOR_N = 20
 
 
@@ -30,11 +34,27 @@ def score(df: DataFrame) -> DataFrame:
     return df.withColumn("q_rating", q).withColumn("q_score", F.col("q_rating") / F.lit(5.0) * F.col("lint_pass").cast("double"))
 
 
+def exact_quantiles(df: DataFrame, col: str, at: tuple[float, ...]) -> list[float | None]:
+    """Interpolated quantiles of a column, null where it has no values. Equal values are counted first; ranks are running
+    sums in ranges of the values, and only the few values at the wanted ranks are collected."""
+    values = materialize(df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), "values")
+    total = values.agg(F.sum("n").alias("n")).first()["n"]
+    if not total:
+        return [None] * len(at)
+    ranked = prefix_sum(values.withColumn("_b", range_bucket(values, "v")).withColumn("_g", F.lit(0)), ["_g"], ["v"], "_b", "n", "before")
+    places = [(total - 1) * q for q in at]
+    ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
+    hit = " or ".join(f"(before <= {r} and before + n > {r})" for r in ranks)
+    rows = ranked.where(hit).select("v", "n", "before").collect()
+    value = {r: next(x["v"] for x in rows if x["before"] <= r < x["before"] + x["n"]) for r in ranks}
+    return [value[math.floor(p)] + (p - math.floor(p)) * (value[math.ceil(p)] - value[math.floor(p)]) for p in places]
+
+
 def quantiles(df: DataFrame, col: str = "q_score", at: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)) -> DataFrame:
-    q = df.agg(F.percentile(col, F.array(*[F.lit(x) for x in at])).alias("v"))
-    return q.select(F.posexplode("v").alias("i", "value")).select(F.element_at(F.array(*[F.lit(x) for x in at]), F.col("i") + 1).alias("q"), "value")
+    return df.sparkSession.createDataFrame(list(zip(at, exact_quantiles(df, col, at))), "q double, value double")
 
 
 def describe(df: DataFrame, col: str = "q_score") -> DataFrame:
     c = F.col(col)
-    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.percentile(c, F.lit(0.25)).alias("p25"), F.percentile(c, F.lit(0.5)).alias("p50"), F.percentile(c, F.lit(0.75)).alias("p75"), F.max(c).alias("max"))
+    quarters = [F.lit(v).cast("double").alias(n) for n, v in zip(("p25", "p50", "p75"), exact_quantiles(df, col, (0.25, 0.5, 0.75)))]
+    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), *quarters, F.max(c).alias("max"))

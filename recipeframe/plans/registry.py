@@ -53,6 +53,7 @@ def _list(words) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
 
+_PLAIN = f"list_transform({_list(text.DESCRIPTORS)}, lambda d: {_stem('d')})"
 _BARE = "list_transform(coalesce(ingredients, []), lambda z: trim(regexp_replace(lower(z), '[^a-z ]', '', 'g')))"
 _ING = f"list_sort(list_distinct({_BARE}))"
 _KEY = f"array_to_string({_ING}, '|')"
@@ -62,7 +63,7 @@ _LINT = f"""
 b as (select *, list_filter(coalesce(steps, []), lambda s: regexp_matches(s, '\\S')) as s_, coalesce(ingredients, []) as i_ from r),
 b2 as (select *, {_tokens("array_to_string(s_, ' ')")} as body_ from b),
 b3 as (select * replace (case when list_has_any(body_, ['season', 'taste']) then list_distinct(list_concat(body_, ['salt', 'pepper', 'seasoning'])) else body_ end as body_) from b2),
-b4 as (select *, case when len(s_) > 0 and len(i_) > 0 and not list_has_any(body_, ['ingredient', 'everything']) then len(list_filter(list_transform(i_, lambda z: list_filter({_tokens('z')}, lambda t: not list_contains({_list(text.stemmed(text.DESCRIPTORS))}, t))),
+b4 as (select *, case when len(s_) > 0 and len(i_) > 0 and not list_has_any(body_, ['ingredient', 'everything']) then len(list_filter(list_transform(i_, lambda z: list_filter({_tokens('z')}, lambda t: not list_contains({_PLAIN}, t))),
   lambda c: len(c) > 0 and not list_has_any(c, body_) and len(list_filter(c, lambda t: length(t) > 3 and len(list_filter(body_, lambda q: length(q) > 3 and (contains(q, t) or contains(t, q)))) > 0)) = 0)) else 0 end as unused_ from b3),
 l as (select * exclude (s_, i_, body_), list_filter([case when len(s_) = 0 then 'no_steps' when len(s_) < 2 then 'too_few_steps' end, case when len(i_) = 0 then 'no_ingredients' end,
   case when len(list_distinct(list_transform(i_, lambda z: lower(z)))) < len(i_) then 'dup_ingredient' end, case when unused_ > 0 then 'unused_ingredient' end,

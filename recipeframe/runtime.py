@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -128,6 +128,7 @@ def join_hot(facts: DataFrame, dims: DataFrame, key: str, n: str) -> DataFrame:
 def member_pairs(links: DataFrame, members: DataFrame, block: int = 500) -> DataFrame:
     """(x, y), x <> y unless an item is in both groups: all pairs of an item of group ``a`` and an item of group ``b``, for
     each row (a, b) of ``links``; for a = b the pairs x < y within the group. ``members``: (group, item), each row once.
+    Other columns of ``links`` go with its pairs.
 
     Groups are cut into blocks of about ``block`` items by hash and met block by block, so no key of a join has more than
     that many members, whatever the size of a group."""
@@ -137,13 +138,32 @@ def member_pairs(links: DataFrame, members: DataFrame, block: int = 500) -> Data
     whole = members.join(large.select("group"), "group", "left_anti").select("group", "item", F.lit(0).alias("part"))
     placed = materialize(cut.unionByName(whole), "placed")
     parts = large.select("group", "parts")
-    met = links.select("a", "b").join(parts.select(F.col("group").alias("a"), F.col("parts").alias("na")), "a", "left")
+    more = [c for c in links.columns if c not in ("a", "b")]
+    met = links.join(parts.select(F.col("group").alias("a"), F.col("parts").alias("na")), "a", "left")
     met = met.join(parts.select(F.col("group").alias("b"), F.col("parts").alias("nb")), "b", "left")
     met = met.withColumn("pa", F.explode(F.expr("sequence(0, coalesce(na, 1) - 1)"))).withColumn("pb", F.explode(F.expr("sequence(0, coalesce(nb, 1) - 1)")))
-    met = met.where("a <> b or pa <= pb").select("a", "b", "pa", "pb")
+    met = met.where("a <> b or pa <= pb").select("a", "b", "pa", "pb", *more)
     x = met.join(placed.select(F.col("group").alias("a"), F.col("part").alias("pa"), F.col("item").alias("x")), ["a", "pa"])
     y = x.join(placed.select(F.col("group").alias("b"), F.col("part").alias("pb"), F.col("item").alias("y")), ["b", "pb"])
-    return y.where("a <> b or pa <> pb or x < y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return y.where("a <> b or pa <> pb or x < y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), *more)
+
+
+def range_bucket(df: DataFrame, col: str, rows: int = 1_000_000, most: int = 512) -> Column:
+    """A column that numbers ranges of ``col`` in order, of about ``rows`` rows each (at most ``most`` ranges); nulls are in
+    range 0. The bounds are quantiles of the values, so sparse or uneven values fill the ranges alike."""
+    parts = min(most, 1 + df.count() // rows)
+    if parts == 1:
+        return F.lit(0)
+    at = [i / parts for i in range(1, parts)]
+    bounds = sorted(set(df.agg(F.percentile_approx(col, at, 20_000).alias("b")).first()["b"] or []))
+
+    def place(lo: int, hi: int) -> Column:  # a balanced tree of comparisons
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(col) > F.lit(bounds[mid]), place(mid + 1, hi)).otherwise(place(lo, mid))
+
+    return place(0, len(bounds))
 
 
 def prefix_sum(df: DataFrame, group: list[str], order: list, bucket: str, value: str, out: str) -> DataFrame:

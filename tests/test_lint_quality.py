@@ -98,6 +98,65 @@ def test_families_match_sequential_visit(spark):
     assert {r["id"]: r["leader_id"] for r in dedup.family(df).collect()} == greedy({r[0]: r[7] or 0 for r in rows}, edges)
 
 
+def test_families_of_many_copies(spark, monkeypatch):
+    """Copies are one class, large groups meet in blocks, and the leader is the first in visiting order."""
+    from recipeframe import runtime
+
+    monkeypatch.setattr(runtime, "HOT_ROWS", 5)
+    n = 20_000
+    df = spark.range(n).selectExpr("id", "if(id % 2 = 0, 'red soup', 'Soup, RED') as title", "array('salt', 'beet', 'dill') as ingredients", "if(id = 77, 9L, null) as rating_n")
+    more = spark.createDataFrame([(n, "soup", ["salt", "beet", "dill", "egg"], 5), (n + 1, "stew", ["salt", "beet", "dill"], 99), (n + 2, "soup", ["egg"], 1), (n + 3, "soup", None, 1)], "id bigint, title string, ingredients array<string>, rating_n bigint")
+    got = dedup.family(df.unionByName(more)).groupBy("leader_id").count().collect()
+    assert {r["leader_id"]: r["count"] for r in got} == {77: n + 1, n + 1: 1, n + 2: 1, n + 3: 1}
+    assert dedup.family(more.where("false")).count() == 0
+    few = df.where("id < 30").unionByName(more)
+    assert {(r["a"], r["b"]) for r in dedup.family_edges(few).collect()} == {(a, b) for b in range(30) for a in range(b)} | {(a, n) for a in range(30)}
+
+
+def test_exact_quantiles(spark, monkeypatch):
+    import random
+
+    from recipeframe import runtime
+
+    rnd = random.Random(2)
+    values = [rnd.choice([0.0, 1.5, None, rnd.random()]) for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    at = (0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0)
+    bucket = runtime.range_bucket
+    for rows in (10**6, 100):  # one range, many ranges
+        monkeypatch.setattr(quality, "range_bucket", lambda d, c, r=rows: bucket(d, c, r))
+        want = df.agg(F.percentile("v", F.array(*map(F.lit, at))).alias("p")).first()["p"]
+        assert quality.exact_quantiles(df, "v", at) == pytest.approx(want)
+    assert quality.exact_quantiles(df.where("false"), "v", at) == [None] * len(at) and quality.describe(df.where("false"), "v").first()["p50"] is None
+
+
+def test_dup_group_of_sparse_ids(spark, monkeypatch):
+    from recipeframe import runtime
+
+    monkeypatch.setattr(runtime, "HOT_ROWS", 5)
+    bucket = runtime.range_bucket
+    monkeypatch.setattr(dedup, "range_bucket", lambda d, c: bucket(d, c, 10))
+    ids = [(-1) ** i * i**7 * 1000 for i in range(120)]
+    name = lambda k: chr(97 + k % 20) + chr(97 + k % 40 // 20) if k > 60 else "zz"
+    df = spark.createDataFrame([row(i, title=name(k)) for k, i in enumerate(ids)], SCHEMA)
+    by = {}
+    for k, i in enumerate(ids):
+        by.setdefault(name(k), []).append(i)
+    order = sorted(by, key=lambda t: min(by[t]))
+    want = {i: order.index(t) if len(x) > 1 else -1 for t, x in by.items() for i in x}
+    assert {r["id"]: r["dup_group"] for r in dedup.dup_group(df).collect()} == want
+
+
+def test_confidence_of_a_shared_empty_set(spark, monkeypatch):
+    from recipeframe import runtime
+
+    monkeypatch.setattr(runtime, "HOT_ROWS", 5)
+    df = lint.lint(spark.createDataFrame([row(i, ingredients=["盐"] if i % 3 else [f"x{chr(97 + i % 20)}"], n=1) for i in range(60)], SCHEMA)).withColumn("safety_flags", F.when(F.col("id") == 1, F.array(F.lit("raw"))))
+    meta, inter = spark.createDataFrame([], "id bigint, contributor_id bigint, submitted string"), spark.createDataFrame([(1, "2011-01-01", "a keeper")], "recipe_id bigint, date string, review string")
+    got = {r["id"]: r for r in confidence.confidence(df, meta, inter).collect()}
+    assert len(got) == 60 and got[2]["n_copies"] == 40 and got[2]["pooled_rating_n"] == 40 and got[2]["pos_tier"] == 3 and got[1]["pos_tier"] == 0 and got[1]["safety_fail"]
+
+
 def test_dup_group(spark):
     rows = [row(5, title="b A"), row(3, title="a b"), row(4, title="c"), row(9, title="c", ingredients=None), row(7, title="c", ingredients=[""]), row(8, title="c", ingredients=[])]
     got = {r["id"]: r["dup_group"] for r in dedup.dup_group(spark.createDataFrame(rows, SCHEMA)).collect()}
