@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from recipeframe.functions.text import calories, clean_list, listify, minutes_of, strip
 
@@ -38,7 +39,10 @@ _STRINGS = "array<string>"
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A CSV file with header and quoted multi-line text; the usual writings of a missing value are null."""
+    """CSV with header and quoted multi-line text; the usual writings of a missing value are null.
+
+    Quoted text may hold line ends, so a file can't be cut into parts: one task reads each file of ``path``, and large
+    tables should come as many files. What is selected from the result is all that is parsed."""
     df = spark.read.schema(ddl).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return df.select(*[F.when(~F.col(f.name).isin(NA), F.col(f.name)).alias(f.name) if f.dataType == T.StringType() else F.col(f.name) for f in df.schema])
 
@@ -83,11 +87,15 @@ def dish_rows(lines: DataFrame) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, ok, fields of DISH_LINE): one row per physical line, numbered from 0, malformed and blank ones with ok
-    false. Line numbers need each file's earlier lines counted, so this is the one place with an RDD."""
-    lines = spark.sparkContext.textFile(path).zipWithIndex().map(lambda x: (x[1], x[0]))
-    df = spark.createDataFrame(lines, "line_no bigint, line string")
-    j = df.withColumn("ok", F.try_parse_json("line").isNotNull() & F.ltrim("line").startswith("{"))
+    """(line_no, ok, fields of DISH_LINE): one row per physical line, numbered from 0 (files in order of their names),
+    malformed and blank ones with ok false.
+
+    A line's number is its place in its block of a file plus the lines of the blocks before, which is one row a block."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m"))
+    blocks = lines.groupBy("f", "b").agg(F.min("m").alias("m0"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("f", "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = lines.join(blocks.select("f", "b", (before - F.col("m0")).alias("shift")), ["f", "b"]).select((F.col("m") + F.col("shift")).alias("line_no"), F.col("value").alias("line"))
+    j = numbered.withColumn("ok", F.try_parse_json("line").isNotNull() & F.ltrim("line").startswith("{"))
     j = j.withColumn("j", F.from_json(F.when(F.col("ok"), F.col("line")), DISH_LINE))
     return j.select("line_no", "ok", "j.*")
 

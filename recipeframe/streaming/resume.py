@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from recipeframe.runtime import materialize
 
@@ -54,13 +55,28 @@ def reachable(edges: DataFrame, roots: DataFrame, child: str = ".*") -> DataFram
 
 
 def stream_new(spark: SparkSession, source: str, schema, key: str, sink: str, checkpoint: str) -> int:
-    """Append rows of files that came since the last run, one per key; returns the rows of the sink.
-
-    The checkpoint is the resume log: a crash repeats no row and loses none."""
-    rows = spark.readStream.schema(schema).parquet(source).dropDuplicates([key])
-    q = rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    """Append rows of files that came since the last run, one per key that the sink doesn't have; returns how many.
+
+    Each micro-batch is written to a folder of its own number, which a repeat after a crash overwrites: no row is repeated
+    and none lost. The keys seen so far are those in the sink, so no state grows besides it."""
+    added = 0
+
+    def write(batch: DataFrame, number: int) -> None:
+        nonlocal added
+        new = batch.dropDuplicates([key])
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(sink)
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            seen = spark.read.schema(batch.schema.add("batch", LongType())).parquet(sink).where(F.col("batch") != number)
+            new = new.join(seen.select(key), key, "left_anti")
+        out = f"{sink}/batch={number}"
+        new.write.mode("overwrite").parquet(out)
+        added += spark.read.schema(batch.schema).parquet(out).count()
+
+    rows = spark.readStream.schema(schema).parquet(source)
+    q = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(sink).count()
+    return added
 
 
 def windowed_counts(events: DataFrame, minutes: int = 60, late: str = "10 minutes") -> DataFrame:

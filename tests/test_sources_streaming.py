@@ -26,6 +26,19 @@ def test_json_lines(spark, tmp_path):
     assert tuple(readers.line_stats(lines).first()) == (6, 2, 4, 1)
 
 
+def test_json_lines_are_numbered_over_blocks_and_files(spark, tmp_path):
+    for k, n in enumerate((400, 3, 250)):
+        (tmp_path / f"part-{k}.jsonl").write_text("".join(json.dumps({"name": f"{k}-{i}", "dish": "x" * (i % 90)}) + ("\r\n" if i % 2 else "\n") for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    try:
+        rows = readers.read_json_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [f"{k}-{i}" for k, n in enumerate((400, 3, 250)) for i in range(n)]
+    assert [r["name"] for r in sorted(rows, key=lambda r: r["line_no"])] == want and {r["line_no"] for r in rows} == set(range(653))
+
+
 RECIPE = {"@type": ["CreativeWork", "Recipe"], "name": "Kürbisgulasch", "recipeIngredient": ["Kürbis", "Zwiebel", "Paprika"], "recipeInstructions": [{"@type": "HowToStep", "text": "Anschwitzen"}, {"text": "Schmoren"}], "totalTime": "PT2H5M", "aggregateRating": {"ratingValue": "3.2", "ratingCount": "58"}, "author": {"name": "Ilse"}, "inLanguage": "de-AT", "review": [{"reviewBody": ""}, {"text": " zu mild "}]}
 
 
@@ -94,8 +107,9 @@ def test_stream_takes_only_what_is_new(spark, tmp_path):
     spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], schema).coalesce(1).write.parquet(src)
     assert resume.stream_new(spark, src, schema, "key", sink, ck) == 2
     spark.createDataFrame([("b", 5), ("c", 1)], schema).coalesce(1).write.mode("append").parquet(src)
-    assert resume.stream_new(spark, src, schema, "key", sink, ck) == 3
-    assert resume.stream_new(spark, src, schema, "key", sink, ck) == 3
+    assert resume.stream_new(spark, src, schema, "key", sink, ck) == 1
+    assert resume.stream_new(spark, src, schema, "key", sink, ck) == 0
+    assert sorted(r["key"] for r in spark.read.parquet(sink).collect()) == ["a", "b", "c"]
 
 
 def test_shards(spark, tmp_path):
