@@ -12,7 +12,7 @@ from recipeframe.operators import confidence, dedup, lint, quality
 from recipeframe.operators.packed import explode_packed
 from recipeframe.plans import views as v
 from recipeframe.runtime import shared_dir, table
-from recipeframe.sources import readers
+from recipeframe.sources import crawl, readers
 from recipeframe.streaming import resume
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,8 +233,9 @@ def shards_union(spark: SparkSession, d: str) -> DataFrame:
     """The corpus appended in two deliveries of shards and read as one table."""
     at = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/shards-{abs(hash(d))}"
     r = table(spark, d, "recipes_fixture").distinct().select(*readers.RECIPE.names)
+    r.where("false").write.mode("overwrite").parquet(at)
     for k in (0, 1):
-        r.where(F.pmod("id", F.lit(2)) == k).write.mode("overwrite").option("maxRecordsPerFile", 1000).parquet(f"{at}/part={k}")
+        readers.write_shards(r.where(F.pmod("id", F.lit(2)) == k), at, 1000)
     return readers.read_shards(spark, at, readers.RECIPE).select("id", F.coalesce("title", F.lit("")).alias("title"), "rating_n")
 
 
@@ -299,22 +300,33 @@ def dup_group(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dup_group(v.recipes(spark, d)).select("id", "dup_group")
 
 
-_EDGES = f"""with {v.RECIPES}, k as (select id, {_ING} as s, {_TITLE} as t from r), w as (select id, len(s) as n, unnest(s) as w from k where len(s) > 0),
-o as (select a.id as a, b.id as b, any_value(a.n) + any_value(b.n) as n, count(*) as o from w a join w b on a.w = b.w and a.id < b.id group by 1, 2 having count(*) >= 0.6 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9)
-select o.a, o.b, o.o / (o.n - o.o) as jaccard from o join k x on x.id = o.a join k y on y.id = o.b where list_has_any(x.t, y.t)"""
+_LIKE = f"""{v.RECIPES}, k as (select id, {_ING} as s, {_TITLE} as t from r), w as (select id, len(s) as n, unnest(s) as w from k where len(s) > 0),
+o as (select a.id as a, b.id as b, any_value(a.n) + any_value(b.n) as n, count(*) as o from w a join w b on a.w = b.w and a.id < b.id group by 1, 2 having count(*) >= 0.6 * (any_value(a.n) + any_value(b.n) - count(*)) - 1e-9),
+e as (select o.a, o.b, o.o / (o.n - o.o) as jaccard from o join k x on x.id = o.a join k y on y.id = o.b where list_has_any(x.t, y.t))"""
 
 
-@query(_EDGES)
+@query(f"with {_LIKE} select a, b, jaccard from e")
 def family_edges(spark: SparkSession, d: str) -> DataFrame:
     return dedup.family_edges(v.recipes(spark, d))
 
 
-@query()
+_FAMILY = f"""with recursive {_LIKE},
+v as (select id, title, row_number() over (order by -rating_n, id) as i from r),
+n as (select greatest(x.i, y.i) as i, list_sort(list(least(x.i, y.i))) as early from e join v x on x.id = e.a join v y on y.id = e.b group by 1),
+visit as (select 0 as i, cast([] as bigint[]) as leaders union all select visit.i + 1, case when list_has_any(coalesce(n.early, []), leaders) then leaders else list_append(leaders, visit.i + 1) end
+  from visit left join n on n.i = visit.i + 1 where visit.i < (select max(i) from v)),
+led as (select leaders from visit order by i desc limit 1),
+f as (select v.id, v.title, l.id as leader_id, l.title as leader_title from v left join n on n.i = v.i, led join v l on l.i = case when list_contains(led.leaders, v.i) then v.i else list_min(list_intersect(n.early, led.leaders)) end)
+"""
+
+
+@query(_FAMILY + "select id, leader_id from f")
 def family(spark: SparkSession, d: str) -> DataFrame:
+    """The SQL visits recipes one after another."""
     return dedup.family(v.recipes(spark, d))
 
 
-@query()
+@query(_FAMILY + "select leader_id, leader_title as title, count(*) as n from f group by all order by n desc, leader_id limit 10")
 def family_top(spark: SparkSession, d: str) -> DataFrame:
     r = v.recipes(spark, d)
     return dedup.family_top(r, dedup.family(r))
@@ -444,33 +456,104 @@ def url_match(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "ingest_youtube").where(F.col("url").rlike(r"watch\?v=[a-z0-9]*[02468]$")).select("video_id", "url").distinct()
 
 
-@query("select n_nationkey, n_name as url from nation")
+@query("select c_custkey, case when c_custkey % 7 = 0 then 'robots' when c_custkey % 5 = 0 then 'fetch_fail' when c_custkey % 3 = 0 then 'parse_fail' else 'ok' end as status from customer")
+def page_status(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return table(spark, d, "customer").select("c_custkey", resume.crawl_status(k % 5 != 0, k % 7 != 0, k % 3 != 0).alias("status"))
+
+
+@query("""select 'https://h' || c_nationkey || '.test/' || c_custkey as key, case when c_custkey % 7 = 0 then 'robots' when c_custkey % 5 = 0 then 'fetch_fail' when c_custkey % 3 = 0 then 'parse_fail' else 'ok' end as status,
+  case when c_custkey % 7 <> 0 and c_custkey % 5 <> 0 and c_custkey % 3 <> 0 then 'Dish ' || c_custkey end as title from customer where c_custkey % 11 <> 0""")
+def crawl_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A page per customer, crawled with the log of an earlier crawl; hosts are nations, every seventh page is private,
+    every fifth gone, every third without a recipe."""
+
+    def fetch(url: str) -> tuple[int, str | None, str | None]:
+        k = int(url.rsplit("/", 1)[1])
+        page = '<script type="application/ld+json">{"@type": "Recipe", "name": "Dish %d", "recipeIngredient": ["salt"]}</script>' % k
+        return (404, None, None) if k % 5 == 0 else (200, url, page if k % 3 else "<p>")
+
+    c = table(spark, d, "customer").select(F.format_string("https://h%d.test/%d", "c_nationkey", "c_custkey").alias("url"), "c_custkey")
+    log = c.where("c_custkey % 11 = 0").select(F.col("url").alias("key"), F.lit("ok").alias("status"), F.lit(1).cast("bigint").alias("seq"))
+    private = F.regexp_extract("url", r"(\d+)$", 1).cast("bigint") % 7 == 0
+    rows, done = crawl.crawl(c.select("url"), log, fetch, "en", allowed=~private, spacing=0.0)
+    return done.select("key", "status").join(rows.select(F.col("url").alias("key"), "title"), "key", "left")
+
+
+@query("select c_custkey, not (c_nationkey % 2 = 0 and c_custkey % 3 = 0) as allowed from customer")
+def robots_allow(spark: SparkSession, d: str) -> DataFrame:
+    """Rules of even hosts keep everyone out of /private, those of odd hosts some other robot only."""
+    c = table(spark, d, "customer")
+    robots = F.when(F.col("c_nationkey") % 2 == 0, "User-agent: *\nDisallow: /private\n").otherwise("User-agent: other\nDisallow: /private\n")
+    url = F.concat(F.lit("https://h.test/"), F.when(F.col("c_custkey") % 3 == 0, "private/").otherwise("open/"), F.col("c_custkey"))
+    return c.select("c_custkey", readers.robots_allow(robots, url).alias("allowed"))
+
+
+@query("""select distinct video_id, case when transcript_kind = 'manual' and transcript_lang = lang then 'm' else 'a' end as url, case when transcript_kind = 'manual' and transcript_lang = lang then 'manual' else 'auto' end as kind,
+  case when transcript_kind = 'manual' and transcript_lang = lang then lang else lang || '-orig' end as track from ingest_youtube where length(lang) = 2""")
+def caption_track(spark: SparkSession, d: str) -> DataFrame:
+    """Tracks of a video: its manual one, if it is in the video's language, before the automatic original one."""
+    t = table(spark, d, "ingest_youtube").where("length(lang) = 2")
+    track = lambda url: F.array(F.struct(F.lit("vtt").alias("ext"), F.lit("x").alias("url")), F.struct(F.lit("json3").alias("ext"), F.lit(url).alias("url")))
+    mine = (F.col("transcript_kind") == "manual") & (F.col("transcript_lang") == F.col("lang"))
+    manual = F.create_map(F.when(mine, F.col("lang")).otherwise("xx"), track("m"))
+    auto = F.create_map(F.lit("yy"), track("y"), F.concat("lang", F.lit("-orig")), track("a"))
+    info = F.to_json(F.struct(manual.alias("subtitles"), auto.alias("automatic_captions")))
+    return t.select("video_id", readers.caption_track(info, F.col("lang")).alias("c")).select("video_id", "c.url", "c.kind", F.col("c.lang").alias("track")).distinct()
+
+
+@query("""select distinct video_id, title, description, coalesce(nullif(channel, ''), 'nobody') as channel, published, duration, view_count, coalesce(video_lang, '') as video_lang, len(tags) as n_tags,
+  case when coalesce(transcript, '') <> '' then 'ok' when transcript_kind = 'rate_limited' then 'rate_limited' else 'no_transcript' end as status from ingest_youtube""")
+def video_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The videos written as a service's metadata and read back."""
+    t = table(spark, d, "ingest_youtube")
+    info = F.to_json(F.struct(F.col("video_id").alias("id"), "title", "description", "channel", F.lit("nobody").alias("uploader"), "channel_id", F.col("published").alias("upload_date"), "duration", "view_count", F.col("video_lang").alias("language"), "tags"))
+    got = crawl.video_rows(t.select(info.alias("info"), "transcript", "transcript_kind", "transcript_lang"), "en")
+    return got.select("video_id", "title", "description", "channel", "published", "duration", "view_count", F.coalesce("video_lang", F.lit("")).alias("video_lang"), F.size("tags").cast("bigint").alias("n_tags"), "status").distinct()
+
+
+@query(f"with {v.RECIPES} select id, case id % 5 when 4 then '' else trim(steps[1]) end as review from r where trim(title) <> '' and len(steps) > 0 and trim(steps[1]) <> ''")
+def page_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with a review under each of its four names, in a list or alone, or with none."""
+    r = v.recipes(spark, d).where("trim(title) <> '' and size(steps) > 0 and trim(steps[0]) <> ''")
+    text, names = F.to_json(F.struct(F.col("steps")[0].alias("t"))), ["reviewBody", "review_text", "text", "description"]
+    body = F.element_at(F.array(*[F.replace(text, F.lit('{"t":'), F.lit(f'{{"reviewBody": "", "{n}":' if n != "reviewBody" else f'{{"{n}":')) for n in names], F.lit("{}")), (F.pmod("id", F.lit(5)) + 1).cast("int"))
+    review = F.when(F.col("id") % 2 == 0, F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
+    page = F.concat(F.lit('<script type="application/ld+json">{"@type": "Recipe", "name": "x", "recipeIngredient": ["y"], "review": '), review, F.lit("}</script>"))
+    return readers.recipe_pages(r.select("id", page.alias("html"))).select("id", F.array_join("review_texts", "|").alias("review"))
+
+
+@query("select n_nationkey, case when n_nationkey % 3 = 0 then 'map' else 'page' end as kind, 'https://' || n_name || '/' || c_custkey as url from nation join customer on c_nationkey = n_nationkey")
 def sitemap_locs(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation")
-    xml = F.concat(F.lit("<urlset>\n<url><loc>\n "), F.col("n_name"), F.lit(" </loc></url></urlset>"))
-    return n.select("n_nationkey", F.explode(readers.sitemap_locs(xml)[1]).alias("url"))
+    """A sitemap per nation with an address per customer; every third is an index of further maps."""
+    urls = table(spark, d, "nation").join(table(spark, d, "customer"), F.col("c_nationkey") == F.col("n_nationkey")).select("n_nationkey", F.concat(F.lit("<loc>\n https://"), "n_name", F.lit("/"), "c_custkey", F.lit(" </loc>")).alias("loc"))
+    n = urls.groupBy("n_nationkey").agg(F.array_join(F.collect_list("loc"), "\n").alias("locs"))  # a sitemap has at most 50,000 addresses
+    xml = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("<sitemapindex>"), "locs", F.lit("</sitemapindex>"))).otherwise(F.concat(F.lit("<urlset>"), "locs", F.lit("</urlset>")))
+    maps, pages = readers.sitemap_locs(xml)
+    kinds = F.concat(F.transform(maps, lambda u: F.struct(F.lit("map").alias("kind"), u.alias("url"))), F.transform(pages, lambda u: F.struct(F.lit("page").alias("kind"), u.alias("url"))))
+    return n.select("n_nationkey", F.explode(kinds).alias("x")).select("n_nationkey", "x.*")
 
 
-@query("select n_nationkey, case when n_nationkey % 2 = 0 then 'https://' || n_name || '/map.xml' else 'https://' || n_name || '/sitemap.xml' end as sitemap from nation")
+@query("select c_custkey, case when c_custkey % 2 = 0 then 'https://' || c_name || '/map.xml' else 'https://' || c_name || '/sitemap.xml' end as sitemap from customer")
 def robots_sitemaps(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation")
-    robots = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("User-agent: *\nSitemap: https://"), F.col("n_name"), F.lit("/map.xml\n")))
-    return n.select("n_nationkey", F.explode(readers.robots_sitemaps(robots, F.col("n_name"))).alias("sitemap"))
+    c = table(spark, d, "customer")
+    robots = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("User-agent: *\nSitemap: https://"), F.col("c_name"), F.lit("/map.xml\n")))
+    return c.select("c_custkey", F.explode(readers.robots_sitemaps(robots, F.col("c_name"))).alias("sitemap"))
 
 
 @query("""with recursive e as (select cast(c_custkey as varchar) as parent, cast(c_custkey * 2 as varchar) as url from customer union select cast(c_custkey as varchar), cast(c_custkey * 3 as varchar) from customer),
-f as (select '1' as url union select e.url from e join f on e.parent = f.url) select url from f""")
+f as (select '1' as url union select e.url from e join f on e.parent = f.url where e.url not like '%7%') select url from f""")
 def sitemap_bfs(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     edges = c.select(F.col("c_custkey").cast("string").alias("parent"), F.explode(F.array((F.col("c_custkey") * 2).cast("string"), (F.col("c_custkey") * 3).cast("string"))).alias("url"))
-    return resume.reachable(edges, spark.createDataFrame([("1",)], "url string"))
+    return resume.reachable(edges, spark.createDataFrame([("1",)], "url string"), child="^[^7]*$")
 
 
-@query()
+@query("select 'https://example.test/recipes/' || (15000000 + cast('0x' || substr(md5('example.test-' || c_custkey), 1, 15) as bigint) % 9000001) as url, c_custkey from customer")
 def id_enum(spark: SparkSession, d: str) -> DataFrame:
-    """A repeatable sample of addresses by number, with replacement."""
-    lo, hi = 15_000_000, 24_000_000
-    return spark.range(1000).select(F.format_string("https://example.test/recipes/%d", F.lit(lo) + F.pmod(F.xxhash64(F.lit("example.test"), "id"), F.lit(hi - lo + 1))).alias("url"))
+    """A repeatable sample of addresses by number, with replacement, as many as there are customers."""
+    at = readers.numbered_url("https://example.test/recipes/%d", "example.test", F.col("c_custkey"), 15_000_000, 24_000_000)
+    return table(spark, d, "customer").select(at.alias("url"), "c_custkey")
 
 
 @query("select time_bucket(interval '60 minutes', ts) as start, event_type, count(*) as n, round(sum(value), 4) as value from events group by 1, 2")

@@ -186,6 +186,12 @@ def robots_allow(text: Column, url: Column, agent: str = "recipeframe") -> Colum
     return F.pandas_udf(run, "boolean")(text, url)
 
 
+def numbered_url(template: str, seed: str, place: Column, lo: int, hi: int) -> Column:
+    """The address of the sample's member number ``place``: a number from lo to hi by hash, with replacement."""
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}-"), place)), 1, 15), 16, 10).cast("bigint")
+    return F.format_string(template, h % (hi - lo + 1) + lo)
+
+
 def caption_track(info: Column, lang: Column) -> Column:
     """struct<url,kind,lang> of the caption track to take: manual before automatic, then the language itself, its original
     track, its variants by name; the first json3 format with an address."""
