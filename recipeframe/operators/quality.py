@@ -37,7 +37,8 @@ def score(df: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, col: str, at: tuple[float, ...]) -> list[float | None]:
     """Interpolated quantiles of a column, null where it has no values. Equal values are counted first; ranks are running
     sums in ranges of the values, and only the few values at the wanted ranks are collected."""
-    values = materialize(df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")), "values")
+    counts = df.groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    values = materialize(counts, "values").where("v is not null")  # a filter before would compute a derived column twice
     total = values.agg(F.sum("n").alias("n")).first()["n"]
     if not total:
         return [None] * len(at)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recipeframe.operators import confidence, dedup, lint, quality
 from recipeframe.plans import reports
-from recipeframe.runtime import clear
+from recipeframe.runtime import clear, ship
 from recipeframe.sources import crawl, readers
 
 
@@ -88,6 +88,7 @@ def write(path: str, text: str) -> None:
 
 if __name__ == "__main__":
     session = SparkSession.builder.appName("recipeframe").getOrCreate()
+    ship(session)
     arguments = [a for a in sys.argv[1:] if a != "--swap"]
     run(session, *arguments)
     clear(session)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import io
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,6 +181,20 @@ def prefix_sum(df: DataFrame, group: list[str], order: list, bucket: str, value:
     return inner.join(before, [*group, bucket]).withColumn(out, F.col("_in") + F.col("_pre")).drop("_in", "_pre")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as functions that run there import it: a zip in the shared folder. Not needed where
+    the package is installed on every machine."""
+    root, data = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-code/recipeframe.zip")
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(str(at.toString()))
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application, once no result is read any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

@@ -224,3 +224,20 @@ def test_video_rows(spark):
     df = spark.createDataFrame([(json.dumps(info), None, "rate_limited", "ko"), (json.dumps(info), "text", "auto", "ko"), ("{bad", None, None, None)], "info string, transcript string, transcript_kind string, transcript_lang string")
     got = crawl.video_rows(df, "ko").collect()
     assert [r["status"] for r in got] == ["rate_limited", "ok"] and got[0]["channel"] == "u" and "재료" in got[0]["chapters"] and got[0]["tags"] == []
+
+
+def test_ship(spark):
+    """The workers find the package in a zip, wherever they run."""
+    import subprocess
+    import sys
+
+    from recipeframe import runtime
+
+    runtime.ship(spark)
+    found = [p for p in spark.sparkContext._python_includes if p == "recipeframe.zip"]
+    assert found
+    from pyspark import SparkFiles
+
+    code = "import recipeframe.runtime, recipeframe.operators.packed as p; print(p.__file__)"
+    out = subprocess.run([sys.executable, "-c", code], cwd="/", env={"PYTHONPATH": SparkFiles.get("recipeframe.zip") + ":" + ":".join(x for x in sys.path if x.endswith("site-packages"))}, capture_output=True, text=True)
+    assert "recipeframe.zip" in out.stdout, out.stderr[-500:]
