@@ -282,10 +282,13 @@ def explode_packed(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
     Null and empty cells give no rows. Columns other than key and fields are ignored, whatever they are called.
     A record is parsed with those contexts that its ambiguous commas ask for, found by a join: nothing is bounded by the
     number of words."""
-    used = df.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_f{i}") for i, f in enumerate(fields)])
+    used = df.select(F.struct(F.col(key).alias("key")).alias("_id"), *[F.col(f).alias(f"_f{i}") for i, f in enumerate(fields)])
     named = used.select(*[F.col(f"_f{i}").alias(f) for i, f in enumerate(fields)])
-    one = used.groupBy("_key").agg(*[F.min(f"_f{i}").alias(f"_f{i}") for i in range(len(fields))])
-    kind = dict(used.dtypes)["_key"]
+    # a struct is never null, so that a null key joins like any other and rows stay where the aggregation has put them
+    one = used.groupBy("_id").agg(*[F.min(f"_f{i}").alias(f"_f{i}") for i in range(len(fields))])
+    kind = dict(df.select(key).dtypes)[key]
+    asks = {f"_f{i}": F.col(f"_f{i}").contains(",") & ~(F.col(f"_f{i}").startswith("[") & F.col(f"_f{i}").endswith("]")) for i in range(len(fields))}
+    doubtful = one.select(F.col("_id.key").alias("_key"), *[F.when(c, F.col(f)).alias(f) for f, c in asks.items()]).where(" or ".join(f"{f} is not null" for f in asks))
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -304,10 +307,10 @@ def explode_packed(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
                             c.append(x)
             yield pd.DataFrame(dict(zip(("_key", "field", "pos", "value", "error"), cols)))
 
-    asked = materialize(one.mapInPandas(ask, f"_key {kind}, field string, context string"), "asked")
+    asked = materialize(doubtful.mapInPandas(ask, f"_key {kind}, field string, context string"), "asked")
     wanted = asked.groupBy("field", "context").agg(F.count(F.lit(1)).alias("n")).join(lead_words(named, fields), ["field", "context"])
     wanted = materialize(wanted.select(F.struct("field", "context").alias("at"), "leads", "n"), "leads")
-    answers = join_hot(asked.select("_key", F.struct("field", "context").alias("at")), wanted, "at", "n")
-    answers = answers.groupBy(F.col("_key").alias("_k")).agg(F.collect_list(F.struct("at.field", "at.context", "leads")).alias("_leads"))
-    told = one.join(answers, F.col("_key").eqNullSafe(F.col("_k")), "left").drop("_k")
+    answers = join_hot(asked.select(F.struct(F.col("_key").alias("key")).alias("_id"), F.struct("field", "context").alias("at")), wanted, "at", "n")
+    answers = answers.groupBy("_id").agg(F.collect_list(F.struct("at.field", "at.context", "leads")).alias("_leads"))
+    told = one.join(answers, "_id", "left").select(F.col("_id.key").alias("_key"), *[f"_f{i}" for i in range(len(fields))], "_leads")
     return told.mapInPandas(run, f"_key {kind}, {OUT}").withColumnRenamed("_key", key)
