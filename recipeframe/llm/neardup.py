@@ -24,9 +24,10 @@ of equal sets are expanded block by block; their pairs grow with the square of t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def word_sets(records: DataFrame, key: str, fields: list[str]) -> DataFrame:
     words = F.array_distinct(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), 0))
     one = records.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), words.alias("words"))
     # repeats of a key are one record: the row with the greatest words, so that the choice doesn't depend on order
-    return one.groupBy("key").agg(F.max(F.array_sort("words")).alias("words"))
+    return one.groupBy("key").agg(F.max(F.sort_array("words")).alias("words"))
 
 
 def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -67,8 +68,17 @@ def _bits(words: str, half: int) -> str:
     return f"aggregate({words}, 0L, (a, w) -> a ^ if((w & 64) = {64 * half}, shiftleft(1L, cast(w & 63 as int)), 0L))"
 
 
-def _pieces(batches: Iterator[pd.DataFrame], t: float, least: int, usual: int) -> Iterator[pd.DataFrame]:
-    """Keys of the pieces of each record's frequent words: as the larger of a pair at one level, as the smaller at every
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of an array column in one array, and the length of each row."""
+    return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
+
+
+def _listed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], t: float, least: int, usual: int, larger: bool) -> Iterator[pa.RecordBatch]:
+    """Keys of the pieces of each record's frequent words: as the larger of a pair at one level, or as the smaller at every
     level that a larger partner can have; for each combination of partners with few (fewer than ``usual``) rare words."""
     coef, span, levels = (1 - t) / (1 + t), (1 + t) / t, np.array(LEVELS)
 
@@ -76,42 +86,44 @@ def _pieces(batches: Iterator[pd.DataFrame], t: float, least: int, usual: int) -
         return np.searchsorted(levels, coef * 2 * size - rare + 1e-9, side="right")  # the first level above
 
     for whole in batches:
-        for at in range(0, len(whole), 2000):
-            b = whole.iloc[at : at + 2000]
-            n, r = b["n"].to_numpy(np.int64), b["r"].to_numpy(np.int64)
-            c = b["h"].map(len).to_numpy(np.int64)
-            words = np.concatenate([np.asarray(x, np.int64) for x in b["h"]] or [np.zeros(0, np.int64)]).view(np.uint64)
-            owner = np.repeat(np.arange(len(b)), c)
+        for at in range(0, whole.num_rows, 2000):
+            b = whole.slice(at, 2000)
+            n, r = (b.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("n", "r"))
+            words, c = _lists(b.column("h"))
+            words, c = words.astype(np.int64).view(np.uint64), c.astype(np.int64)
+            owner = np.repeat(np.arange(len(c)), c)
             most = np.floor(span * c + 1e-9) - n
-            wanted = []  # (tag, larger, first level, last level) per record; an empty range where it has no partner
+            wanted = []  # (tag, first level, last level) per record; an empty range where it has no partner
             for tag, (low_x, low_y) in enumerate(((False, False), (False, True), (True, False), (True, True))):
                 rx, ry = (least if low_x else usual), (least if low_y else usual)
                 first = level(n, rx + ry)
-                x = ((r < usual) == low_x) & (np.floor(coef * 2 * n + 1e-9) - r - ry >= 0)
-                y = ((r < usual) == low_y) & (most >= n)
-                wanted.append((tag, True, first, np.where(x, first, first - 1)))
-                wanted.append((tag, False, first, np.where(y, level(most, rx + ry), first - 1)))
-            out = []
+                if larger:
+                    x = ((r < usual) == low_x) & (np.floor(coef * 2 * n + 1e-9) - r - ry >= 0)
+                    wanted.append((tag, first, np.where(x, first, first - 1)))
+                else:
+                    y = ((r < usual) == low_y) & (most >= n)
+                    wanted.append((tag, first, np.where(y, level(most, rx + ry), first - 1)))
+            who, keys = [], []
             for k, pieces in enumerate(levels):
-                roles = [(tag, larger, np.flatnonzero((lo <= k) & (k <= hi))) for tag, larger, lo, hi in wanted]
-                if not any(len(x) for _, _, x in roles):
+                roles = [(tag, np.flatnonzero((lo <= k) & (k <= hi))) for tag, lo, hi in wanted]
+                if not any(len(x) for _, x in roles):
                     continue
-                need = np.unique(np.concatenate([x for _, _, x in roles]))
-                place = np.full(len(b), -1)
+                need = np.unique(np.concatenate([x for _, x in roles]))
+                place = np.full(len(c), -1)
                 place[need] = np.arange(len(need))
                 mine = place[owner] >= 0
                 sums = np.zeros(len(need) * pieces, np.uint64)
                 np.add.at(sums, place[owner[mine]] * pieces + (words[mine] % np.uint64(pieces)).astype(np.int64), words[mine])
                 sums = sums.reshape(len(need), pieces)
-                for tag, larger, x in roles:
+                for tag, x in roles:
                     if len(x):
                         salt = (np.arange(pieces, dtype=np.uint64) * np.uint64(8) + np.uint64(tag)) * np.uint64(1 << 20) + np.uint64(pieces)
                         key = (sums[place[x]] ^ (salt * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
-                        out.append((np.repeat(x, pieces), (key ^ (key >> np.uint64(32))).ravel().view(np.int64), larger))
-            if out:
-                who = np.concatenate([x for x, _, _ in out])
-                rows = {name: b[name].to_numpy()[who] for name in ("cls", "n", "p0", "p1")}
-                yield pd.DataFrame(rows | {"k": np.concatenate([x for _, x, _ in out]), "larger": np.concatenate([np.full(len(x), z) for x, _, z in out])})
+                        who.append(np.repeat(x, pieces))
+                        keys.append((key ^ (key >> np.uint64(32))).ravel().view(np.int64))
+            if who:
+                rows = b.select(["cls", "n", "p0", "p1"]).take(pa.array(np.concatenate(who)))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(keys))], ["cls", "n", "p0", "p1", "k"])
 
 
 def _cut(reps: DataFrame, each: DataFrame, freq: DataFrame) -> DataFrame:
@@ -124,7 +136,7 @@ def _cut(reps: DataFrame, each: DataFrame, freq: DataFrame) -> DataFrame:
     kind = dict(reps.dtypes)["cls"]
     if common.count() > FREQUENT:
         pieces = join_hot(each, freq, "w", "df").groupBy("cls").agg(
-            F.array_sort(F.collect_list(F.when(F.col("df") > RARE, F.struct("df", "w")))).alias("frequent"),
+            F.sort_array(F.collect_list(F.when(F.col("df") > RARE, F.struct("df", "w")))).alias("frequent"),
             F.collect_list(F.when(F.col("df") <= RARE, F.col("w"))).alias("rare"),
         )
         cut = f"transform(frequent, x -> least({FRAGMENTS - 1}, 1 + cast(floor(log(8, x.df / {RARE}) + 1e-9) as int)))"
@@ -134,28 +146,29 @@ def _cut(reps: DataFrame, each: DataFrame, freq: DataFrame) -> DataFrame:
     b = reps.sparkSession.sparkContext.broadcast((rows["w"].to_numpy(np.int64), rows["df"].to_numpy(np.int64)))
     last, rare_to = FRAGMENTS - 1, RARE
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, dfs = b.value
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            sizes = batch["words"].map(len).to_numpy(np.int64)
-            w = np.concatenate(batch["words"].tolist()).astype(np.int64)
-            owner = np.repeat(np.arange(len(batch)), sizes)
+            w, sizes = _lists(batch.column("words"))
+            w, rows_ = w.astype(np.int64), len(sizes)
+            owner = np.repeat(np.arange(rows_), sizes)
             at = np.minimum(np.searchsorted(known, w), max(0, len(known) - 1))
             often = known[at] == w if len(known) else np.zeros(len(w), bool)
-            starts = np.cumsum(sizes) - sizes
             bit = np.left_shift(np.int64(1), w & 63)
+            starts = np.cumsum(sizes) - sizes
             halves = [np.bitwise_xor.reduceat(np.where((w & 64) == 64 * k, bit, 0), starts) for k in (0, 1)]
             f, fo = w[often], owner[often]
             df = dfs[at[often]] if len(known) else f
             order = np.lexsort((f, df, fo))
             f, fo, df = f[order], fo[order], df[order]
             cut = np.minimum(last, 1 + np.floor(np.log(df / rare_to) / np.log(8) + 1e-9)).astype(np.int32)
-            each = lambda values, of: np.split(values, np.searchsorted(of, np.arange(1, len(batch))))
-            yield pd.DataFrame({"cls": batch["cls"], "n": sizes.astype(np.int32), "frequent": each(f, fo), "cut": each(cut, fo), "rare": each(w[~often], owner[~often]), "p0": halves[0], "p1": halves[1]})
+            many = np.bincount(fo, minlength=rows_)
+            columns = [batch.column("cls"), pa.array(sizes.astype(np.int32)), _listed(f, many), _listed(cut, many), _listed(w[~often], sizes - many), pa.array(halves[0]), pa.array(halves[1])]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "n", "frequent", "cut", "rare", "p0", "p1"])
 
-    return reps.select("cls", "words").mapInPandas(run, f"cls {kind}, n int, frequent array<bigint>, cut array<int>, rare array<bigint>, p0 bigint, p1 bigint")
+    return reps.select("cls", "words").mapInArrow(run, f"cls {kind}, n int, frequent array<bigint>, cut array<int>, rare array<bigint>, p0 bigint, p1 bigint")
 
 
 def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
@@ -179,8 +192,8 @@ def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
     # the other fragments: pairs that share frequent words only, met at equal pieces
     usual = d.agg(F.percentile_approx(F.size("rare"), LOW)).first()[0] or 0
     h = d.select("cls", "n", "p0", "p1", F.size("rare").alias("r"), F.col("frequent").alias("h"))
-    keyed = materialize(h.mapInPandas(lambda batches: _pieces(batches, t, int(least), int(usual)), f"cls {dict(d.dtypes)['cls']}, n int, p0 bigint, p1 bigint, k bigint, larger boolean"), "keyed")
-    probe, index = keyed.where("larger"), keyed.where("not larger")
+    shape = f"cls {dict(d.dtypes)['cls']}, n int, p0 bigint, p1 bigint, k bigint"
+    probe, index = (h.mapInArrow(partial(_pieces, t=t, least=int(least), usual=int(usual), larger=x), shape) for x in (True, False))
     met2 = probe.alias("x").join(index.alias("y"), F.expr(f"x.k = y.k and (x.n > y.n or (x.n = y.n and x.cls > y.cls)) and {close('x', 'y')}"))
     met2 = met2.select(F.expr("least(x.cls, y.cls)").alias("a"), F.expr("greatest(x.cls, y.cls)").alias("b"))
     candidates = materialize(met.unionByName(met2).distinct(), "candidates")
@@ -190,8 +203,8 @@ def pairs_of_classes(reps: DataFrame, threshold: float) -> DataFrame:
     vertical = materialize(d.join(needed, "cls", "left_semi").select("cls", "n", F.explode(F.expr(frag)).alias("v")).select("cls", "n", "v.*").where("size(words) > 0"), "vertical")
     x = candidates.join(vertical.select(F.col("cls").alias("a"), F.col("n").alias("na"), "fragment", F.col("words").alias("wa")), "a")
     y = x.join(vertical.select(F.col("cls").alias("b"), F.col("n").alias("nb"), "fragment", F.col("words").alias("wb")), ["b", "fragment"])
-    partial = y.select("a", "b", "na", "nb", F.size(F.array_intersect("wa", "wb")).alias("o"))
-    total = partial.groupBy("a", "b").agg(F.sum("o").alias("overlap"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    counted = y.select("a", "b", "na", "nb", F.size(F.array_intersect("wa", "wb")).alias("o"))
+    total = counted.groupBy("a", "b").agg(F.sum("o").alias("overlap"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     total = total.withColumn("union", F.col("na") + F.col("nb") - F.col("overlap"))
     return materialize(total.where(F.col("overlap") >= F.lit(t) * F.col("union") - 1e-9).select("a", "b", "overlap", "union"), "links")
 

@@ -141,7 +141,7 @@ def windows(docs: DataFrame, keys: DataFrame, shared: DataFrame, least: int, mar
     after them, and the window reaches ``least`` beyond the start of its last key; so margin W finds all pairs. With
     margin ``least`` a window also holds what precedes it. A key that repeats within its own window extends it."""
     occ = join_hot(keys.select("key", "doc_id", "pos", "len"), shared, "key", "n")
-    per_doc = occ.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "len", "keep", "key"))).alias("occ"))
+    per_doc = occ.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "len", "keep", "key"))).alias("occ"))
     both = docs.select("doc_id", "text").join(per_doc, "doc_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -315,7 +315,7 @@ def pairs(matches: DataFrame, members: DataFrame, lengths: DataFrame, least: int
 def portions(docs: DataFrame, matches: DataFrame, members: DataFrame, least: int) -> DataFrame:
     """(doc_id, n_chars, shared_chars, share, spans) of every document: what of it stands in some other document, too."""
     rows = matches.where("kind = 1").select(F.col("a").alias("doc_id"), "start", "end").distinct()
-    joined = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("x"))
+    joined = rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("x"))
     step = "if(size(a) > 0 and a[size(a) - 1].end >= x.start, concat(slice(a, 1, size(a) - 1), array(named_struct('start', a[size(a) - 1].start, 'end', greatest(a[size(a) - 1].end, x.end)))), concat(a, array(x)))"
     spans = joined.select("doc_id", F.expr(f"aggregate(x, cast(array() as array<struct<start:int,end:int>>), (a, x) -> {step})").alias("spans"))
     n = docs.where("doc_id is not null and text is not null").groupBy("doc_id").agg(F.max(F.length("text")).alias("n_chars"))
