@@ -37,7 +37,7 @@ def _classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cls, n, s, t, o) of distinct sets of ingredients and title words, o the first of its recipes in visiting order;
     and (id, cls). Recipes without either are in no class, as they are like none."""
     first = F.struct((-F.coalesce("rating_n", F.lit(0))).alias("n"), F.col("id").alias("i"))
-    sets = F.struct(ing_set(F.col("ingredients")).alias("s"), F.array_sort(title_tokens(F.coalesce("title", F.lit("")))).alias("t"))
+    sets = F.struct(ing_set(F.col("ingredients")).alias("s"), F.sort_array(title_tokens(F.coalesce("title", F.lit("")))).alias("t"))
     keyed = materialize(df.select("id", first.alias("o"), sets.alias("key")).where("size(key.s) > 0 and size(key.t) > 0"), "keyed")
     group = materialize(keyed.groupBy("key").agg(F.min("id").alias("cls"), F.count(F.lit(1)).alias("n"), F.min("o").alias("o")), "classes")
     members = join_hot(keyed.select("id", "key"), group.select("key", "cls", "n"), "key", "n").select("id", "cls")
@@ -49,7 +49,7 @@ def _class_edges(classes: DataFrame) -> DataFrame:
     n - ceil(0.6 n) + 1 ingredients, so they meet at (title word, such an ingredient), large groups block by block."""
     each = classes.select("cls", F.explode("s").alias("w"))
     freq = materialize(each.groupBy("w").agg(F.count(F.lit(1)).alias("df")), "df")
-    ranked = join_hot(each, freq, "w", "df").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("r"))
+    ranked = join_hot(each, freq, "w", "df").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "w"))).alias("r"))
     # parities of the set in 64 bits: bits that differ are at most ingredients that differ, which are at most n1 + n2 - 2 o
     parity = F.expr("aggregate(s, 0L, (a, w) -> a ^ shiftleft(1L, cast(xxhash64(w) & 63 as int)))").alias("h")
     d = classes.join(ranked, "cls").select("cls", "s", "t", parity, F.expr("transform(slice(r, 1, size(r) - cast(ceil(0.6 * size(r) - 1e-9) as int) + 1), x -> x.w)").alias("p"))
