@@ -216,6 +216,20 @@ select id_a, id_b from o where o >= 0.7 * (na + nb - o) - 1e-9
 """
 
 
+P6_GROUPS_SQL = (
+    P6_SQL[: P6_SQL.index("t as (")].replace("with one", "with recursive one")
+    + r"""k as (select id, s, case when len(s) = 0 then id else min(id) over (partition by s) end as cls, case when len(s) = 0 then 1 else count(*) over (partition by s) end as n from one),
+t as (select cls, len(s) as n, unnest(s) as w from k where id = cls),
+o as (select a.cls as a, b.cls as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as o from t a join t b on a.w = b.w and a.cls < b.cls group by 1, 2),
+l as (select a, b from o where o >= 0.7 * (na + nb - o) - 1e-9),
+hop as (select a, b from l union select b, a from l),
+reach(id, g) as (select a, least(a, min(b)) from hop group by a union select h.a, r.g from reach r join hop h on h.b = r.id where r.g < h.a)
+select k.id, k.cls, k.n as n_copies, coalesce(d.n, 0) as n_links, coalesce(r.g, k.cls) as "group" from k
+left join (select a, count(*) as n from hop group by a) d on d.a = k.cls left join (select id, min(g) as g from reach group by id) r on r.id = k.cls
+"""
+)
+
+
 # ---- 7: evaluation texts in training text
 
 
@@ -293,9 +307,19 @@ select distinct a.doc_id as doc_id_a, b.doc_id as doc_id_b from g a join g b on
 """
 
 
+P9_PORTIONS_SQL = r"""
+with d as (select distinct doc_id, text from documents where doc_id is not null and text is not null),
+g as (select doc_id, k, md5(substr(text, k, 300)) as h from (select doc_id, text, unnest(range(1, length(text) - 298)) as k from d)),
+p as (select doc_id, k, lead(k) over (partition by doc_id order by k) - k as gap from g where h in (select h from g group by h having count(distinct doc_id) > 1)),
+c as (select doc_id, cast(sum(least(300, coalesce(gap, 300))) as bigint) as n, count(*) filter (gap is null or gap > 300) as spans from p group by doc_id),
+n as (select doc_id, max(length(text)) as n_chars from d group by doc_id)
+select n.doc_id, n_chars, coalesce(c.n, 0) as shared_chars, coalesce(c.n, 0) / greatest(n_chars, 1) as share, coalesce(spans, 0) as spans from n left join c on c.doc_id = n.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p1_merged": P1_SQL, "p2_found": P2_SQL, "p3_found": _p3_sql(P3_PAIRS), "p3_groups": _p3_sql("select field, form, key, value from s"), "p6_found": P6_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL}
+    return {"p1_found": P1_SQL, "p1_merged": P1_SQL, "p2_found": P2_SQL, "p3_found": _p3_sql(P3_PAIRS), "p3_groups": _p3_sql("select field, form, key, value from s"), "p6_found": P6_SQL, "p6_groups": P6_GROUPS_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL, "p9_portions": P9_PORTIONS_SQL}
