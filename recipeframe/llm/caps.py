@@ -63,7 +63,8 @@ def latest_scores(scores: DataFrame) -> DataFrame:
 def arrival(score: Column, key: Column, temperature: float, seed: int) -> Column:
     if temperature == 0:
         return score
-    u = (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    h = F.conv(F.substring(F.md5(F.concat(key, F.lit(f"-{seed}"))), 1, 15), 16, 10).cast("bigint")  # as SQL elsewhere can draw it
+    u = (F.pmod(h, F.lit(1 << 52)) + 0.5) / float(1 << 52)
     return score - F.lit(float(temperature)) * F.log(-F.log(u))
 
 

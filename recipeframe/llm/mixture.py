@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from recipeframe.runtime import bounded_collect, materialize, prefix_sum
+from recipeframe.runtime import bounded_collect, materialize, prefix_sum, scratch
 
 TRAIN_DOCS, LONGEST, FEATURES, SOURCES, STRATA, PARTS = 200, 20_000, 2048, 1000, 64, 256
 # Fixed value: the pattern by which this byte-level BPE cuts text before merging.
@@ -150,7 +150,13 @@ def solve(docs: DataFrame, targets: DataFrame, vocabulary: str | None = None, bu
 
     docs: (doc_id, text, source), other columns are ignored. Null doc_ids are dropped, repeats are one document, null
     texts have no tokens. Without documents or usable targets nothing is drawn."""
-    vocabulary = vocabulary or default_vocabulary()
+    with scratch() as keep:
+        mix = _solve(docs, targets, vocabulary or default_vocabulary(), budget, label_trust, unlabelled, steps)
+        keep(mix.rates)
+        return mix
+
+
+def _solve(docs: DataFrame, targets: DataFrame, vocabulary: str, budget: float | None, label_trust: float, unlabelled: bool, steps: int) -> Mix:
     rows = bounded_collect(targets.where("source is not null"), SOURCES, "targets")
     share = {r["source"]: max(0.0, r["target_share"] or 0.0) for r in rows}
     cap = {r["source"]: max(0, r["max_repeats"] or 0) for r in rows}

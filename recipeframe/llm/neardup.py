@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recipeframe.llm.components import components
-from recipeframe.runtime import join_hot, materialize, member_pairs
+from recipeframe.runtime import join_hot, materialize, member_pairs, scratch
 
 RARE, FRAGMENTS, LOW, FREQUENT = 64, 5, 0.1, 1_000_000
 LEVELS = [*range(1, 7), *(round(1.25**k) + 3 for k in range(6, 60))]  # numbers of pieces
@@ -214,8 +214,9 @@ def similar(records: DataFrame, key: str, fields: list[str], threshold: float) -
 
     Null fields are empty, null keys are dropped, repeats of a key are one record, columns other than key and fields are
     ignored. Records without words (also null or blank ones) link to none; an empty table gives empty results."""
-    reps, members = classes(word_sets(records, key, fields))
-    return pairs_of_classes(reps, threshold), members
+    with scratch() as keep:
+        reps, members = classes(word_sets(records, key, fields))
+        return keep(pairs_of_classes(reps, threshold)), keep(materialize(members, "members"))
 
 
 def pairs(links: DataFrame, members: DataFrame, expand: int | None = None) -> DataFrame:

@@ -79,6 +79,26 @@ select id, group_id from best where group_id in (select group_id from best group
 """
 
 
+_P1_SPLIT = (
+    P1_SQL[: P1_SQL.rindex("select id, group_id from best")].rstrip()
+    + r""",
+m as (select distinct r.id, coalesce(b.group_id, r.id) as group_id from raw_recipes_mini r left join best b on b.id = r.id where r.id is not null),
+g as (select group_id, count(*) as n from m group by group_id),
+w as (select cast(sum(n) as double) as total from g),
+t as (select split_name, greatest(coalesce(target_share, 0), 0) as s from split_targets where split_name is not null),
+big as (select group_id, n, row_number() over (order by n desc, group_id) as i from g, w where n * 1000 > total),
+pick as (select cast(0 as bigint) as i, (select list({'d': s / (select sum(s) from t) * total, 'name': split_name} order by split_name) from t, w) as deficits, cast(null as varchar) as split
+  union all select big.i, list_transform(deficits, lambda x: {'d': case when x.name = list_max(deficits).name then x.d - n else x.d end, 'name': x.name}), list_max(deficits).name from pick join big on big.i = pick.i + 1),
+d as (select unnest(deficits, recursive := true) from (select deficits from pick order by i desc limit 1)),
+b as (select name, sum(greatest(d, 0)) over (order by name) / (select case when sum(greatest(d, 0)) = 0 then 1 else sum(greatest(d, 0)) end from d) * ((select total from w) - coalesce((select sum(n) from big), 0)) as upto, name = (select max(name) from d) as last from d),
+small as (select group_id, n, sum(n) over (order by h % 1024, h, group_id) - n as before from (select group_id, n, cast('0x' || substr(md5(group_id || '-0'), 1, 15) as bigint) as h from g, w where n * 1000 <= total)),
+put as (select big.group_id, n, split from big join pick on pick.i = big.i
+  union all select group_id, n, (select min(name) from b where small.before + small.n / 2 < b.upto or last) from small)
+"""
+)
+P1_SPLITS_SQL = _P1_SPLIT + "select m.id, m.group_id, split from m join put on put.group_id = m.group_id"
+P1_SHARES_SQL = _P1_SPLIT + "select coalesce(split, split_name) as split, n_records, n_groups, n_records / total as share, target_share from (select split, cast(sum(n) as bigint) as n_records, count(*) as n_groups from put group by split) p full join split_targets s on s.split_name = p.split, w"
+
 # ---- 2: capping records per contributor
 
 
@@ -111,6 +131,15 @@ r as (select n.t, n.k, row_number() over (partition by n.t, n.c order by coalesc
 select t as record_table, k as record_key from r where rn > 8
 """
 
+P2_SAMPLED_SQL = (
+    P2_SQL[: P2_SQL.index("r as (select")]
+    + r"""j as (select n.t, n.k, n.c, nullif(s.q, -1) as q, least(8, greatest(1, floor(count(*) over (partition by n.t) * 0.01))) as most,
+  (cast('0x' || substr(md5(n.k || '-7'), 1, 15) as bigint) % 4503599627370496 + 0.5) / 4503599627370496.0 as u from n left join s on s.record_table = n.t and s.record_key = n.k),
+r as (select t, k, most, row_number() over (partition by t, c order by q - 0.1 * ln(-ln(cast(u as double))) desc nulls last, k) as rn from j where c is not null)
+select t as record_table, k as record_key from r where rn > most
+"""
+)
+
 # ---- 3: visually identical text
 
 
@@ -322,4 +351,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_SQL, "p1_merged": P1_SQL, "p2_found": P2_SQL, "p3_found": _p3_sql(P3_PAIRS), "p3_groups": _p3_sql("select field, form, key, value from s"), "p6_found": P6_SQL, "p6_groups": P6_GROUPS_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL, "p9_portions": P9_PORTIONS_SQL}
+    return {"p1_found": P1_SQL, "p1_merged": P1_SQL, "p1_splits": P1_SPLITS_SQL, "p1_shares": P1_SHARES_SQL, "p2_found": P2_SQL, "p2_sampled": P2_SAMPLED_SQL, "p3_found": _p3_sql(P3_PAIRS), "p3_groups": _p3_sql("select field, form, key, value from s"), "p6_found": P6_SQL, "p6_groups": P6_GROUPS_SQL, "p7_found": P7_SQL, "p9_found": P9_SQL, "p9_portions": P9_PORTIONS_SQL}

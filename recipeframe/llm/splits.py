@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -84,6 +84,11 @@ def regroup(state: SplitState | None, records: DataFrame, ties: DataFrame) -> tu
         return keep(materialize(members, "members")), keep(materialize(keys, "keys")), keep(materialize(moved, "moved"))
 
 
+def hash_order(group_id: Column, seed: int) -> Column:
+    """A number by md5, which SQL elsewhere can repeat."""
+    return F.conv(F.substring(F.md5(F.concat(group_id.cast("string"), F.lit(f"-{seed}"))), 1, 15), 16, 10).cast("bigint")
+
+
 def fill_deficits(groups: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
     """groups (group_id, n_records, split or null) with every null split filled; shares end near ``targets``.
 
@@ -104,7 +109,7 @@ def fill_deficits(groups: DataFrame, targets: DataFrame, seed: int = 0) -> DataF
         chosen.append((r["group_id"], s))
     spark = groups.sparkSession
     picked = spark.createDataFrame(chosen, "group_id bigint, _s string")
-    small = open_.where(F.col("n_records") * LARGE <= total).withColumn("_h", F.xxhash64("group_id", F.lit(seed)))
+    small = open_.where(F.col("n_records") * LARGE <= total).withColumn("_h", hash_order(F.col("group_id"), seed))
     small = small.withColumn("_b", F.pmod("_h", F.lit(BUCKETS))).withColumn("_g", F.lit(0))
     small = prefix_sum(small, ["_g"], ["_h", "group_id"], "_b", "n_records", "_before")
     left = sum(max(0.0, d) for d in deficit.values()) or 1.0
